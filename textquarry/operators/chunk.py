@@ -44,7 +44,7 @@ def semantic_blocks(text: Column, lowest: int = 2, deepest: int = 6) -> Column:
     followed by `#`.
     """
     check_levels(lowest, deepest)
-    marked = F.regexp_replace(F.replace(text, F.lit(_NUL), F.lit(_NUL + "_")), _HEADING, r"\u0000$0")
+    marked = F.regexp_replace(F.replace(text, F.lit(_NUL), F.lit(_NUL + "_")), _HEADING, _NUL + "$0")
     if lowest > 1:
         marked = F.regexp_replace(marked, rf"\x00(?=#{{1,{lowest - 1}}}[^#])", "")
     if deepest < 6:
