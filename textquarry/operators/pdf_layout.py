@@ -139,6 +139,13 @@ def ends_paragraph(text: Column) -> Column:
     return F.rlike(text, F.lit(rf"[{TERMINATORS}{code_point_class(str.isdigit)}]\z"))
 
 
+def _joint(first: Column, after_heading: Column, gap: Column, continues: Column) -> Column:
+    """What stands between a line and the kept one before it in its column."""
+    return (
+        F.when(first, "\n\n").when(after_heading, "\n").when(gap, "\n\n").when(continues, " ").otherwise("\n")
+    )
+
+
 def joined_lines(segments: DataFrame) -> DataFrame:
     """Add `kept` and `joint`: what stands between a line and the kept one before it.
 
@@ -149,7 +156,7 @@ def joined_lines(segments: DataFrame) -> DataFrame:
     """
     column = W.partitionBy(*PAGE, "column_no").orderBy("line_top", "first_x0", "segment_no")
     before = column.rowsBetween(W.unboundedPreceding, -1)
-    is_head = F.startswith("text", F.lit("## "))
+    so_far = column.rowsBetween(W.unboundedPreceding, 0)
     return (
         segments.withColumn("kept", ~F.rlike("text", F.lit(NOISE_PATTERN)))
         .withColumns(
@@ -158,36 +165,67 @@ def joined_lines(segments: DataFrame) -> DataFrame:
                 "step": F.col("line_top") - F.lag("line_top").over(column),
             }
         )
-        .withColumn("last_head", F.startswith("last", F.lit("## ")))
-        .withColumn(
-            "gap", F.coalesce((F.col("step") > F.col("line_gap")) & ~F.col("last_head"), F.lit(False)).cast("int")
-        )
-        .withColumn("gaps", F.sum("gap").over(column))
+        .withColumn("gaps", F.count_if(F.col("step") > F.col("line_gap")).over(so_far))
         .withColumn(
             "last_gaps", F.last(F.when(F.col("kept"), F.col("gaps")), ignorenulls=True).over(before)
         )
+        .withColumns(
+            {
+                "first": F.col("last").isNull(),
+                "gap": F.coalesce(F.col("gaps") > F.col("last_gaps"), F.lit(False)),
+                "continues": ~(
+                    F.startswith("text", F.lit("## "))
+                    | F.coalesce(ends_paragraph(F.col("last")), F.lit(False))
+                    | starts_with_bullet(F.col("text"))
+                ),
+            }
+        )
         .withColumn(
             "joint",
-            F.when(F.col("last").isNull() | (F.col("gaps") > F.col("last_gaps")), "\n\n")
-            .when(
-                F.col("last_head") | is_head | ends_paragraph(F.col("last")) | starts_with_bullet(F.col("text")),
-                "\n",
-            )
-            .otherwise(" "),
+            _joint(
+                F.col("first"),
+                F.coalesce(F.startswith("last", F.lit("## ")), F.lit(False)),
+                F.col("gap"),
+                F.col("continues"),
+            ),
         )
-        .drop("last", "step", "last_head", "gap", "gaps", "last_gaps")
+        .drop("last", "step", "gaps", "last_gaps")
     )
 
 
+def _join_after_bare_marks(lines: Column) -> Column:
+    """Join the lines of a page on which one is a bare `##`.
+
+    Such a line turns into a heading when the next one continues it, so here, and
+    only here, a joint depends on how the lines before were joined.
+    """
+    start = F.struct(F.lit("plain").alias("last"), F.lit("").alias("text"))
+
+    def add(so_far: Column, line: Column) -> Column:
+        joint = _joint(line["first"], so_far["last"] == "heading", line["gap"], line["continues"])
+        last = (
+            F.when(F.startswith(line["text"], F.lit("## ")), "heading")
+            .when(joint == " ", F.when(so_far["last"] == "bare", "heading").otherwise("plain"))
+            .when(line["text"] == "##", "bare")
+            .otherwise("plain")
+        )
+        return F.struct(last.alias("last"), F.concat(so_far["text"], joint, line["text"]).alias("text"))
+
+    return F.aggregate(lines, start, add, lambda end: end["text"])
+
+
 def page_texts(lines: DataFrame) -> DataFrame:
     """Concatenate the kept lines of each page, column by column."""
-    line = F.struct(
-        "column_no", "line_top", "first_x0", "segment_no", F.concat("joint", "text").alias("piece")
-    )
-    pieces = F.sort_array(F.collect_list(F.when(F.col("kept"), line)))
-    return lines.groupBy(*PAGE).agg(
-        strip(F.array_join(F.transform(pieces, lambda p: p["piece"]), "")).alias("page_text")
+    order = ["column_no", "line_top", "first_x0", "segment_no"]
+    line = F.struct(*order, "text", "joint", "first", "gap", "continues")
+    collected = lines.groupBy(*PAGE).agg(
+        F.sort_array(F.collect_list(F.when(F.col("kept"), line))).alias("lines")
     )
+    plain = F.array_join(F.transform("lines", lambda n: F.concat(n["joint"], n["text"])), "")
+    text = F.when(
+        F.exists("lines", lambda n: n["text"] == "##"), _join_after_bare_marks(F.col("lines"))
+    ).otherwise(plain)
+    return collected.select(*PAGE, strip(text).alias("page_text"))
 
 
 def laid_out_lines(words: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import universal_newlines
 
@@ -71,7 +72,7 @@ def rejects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _decode_ignoring(content: pa.Array) -> pa.Array:
     decoded = [None if b is None else b.decode("utf-8", "ignore") for b in content.to_pylist()]
     return pa.array(decoded, type=pa.string())

@@ -52,10 +52,9 @@ def read_written_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_dead_letters(letters: DataFrame, path: str) -> None:
-    """Append text reports, a folder per document."""
-    letters.select("document_id", "value").write.mode("append").option("lineSep", "").partitionBy(
-        "document_id"
-    ).text(path)
+    """Append text reports, a folder per document; each ends with an empty line."""
+    reports = letters.select("document_id", F.regexp_replace("value", r"\n\z", "").alias("value"))
+    reports.write.mode("append").option("lineSep", "\n").partitionBy("document_id").text(path)
 
 
 def write_call_log(records: DataFrame, path: str) -> None:
