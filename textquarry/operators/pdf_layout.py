@@ -136,7 +136,7 @@ def starts_with_bullet(text: Column) -> Column:
 
 
 def ends_paragraph(text: Column) -> Column:
-    return F.rlike(text, F.lit(rf"[{TERMINATORS}{code_point_class(str.isdigit)}]\z"))
+    return F.rlike(F.right(text, F.lit(1)), F.lit(f"[{TERMINATORS}{code_point_class(str.isdigit)}]"))
 
 
 def _joint(first: Column, after_heading: Column, gap: Column, continues: Column) -> Column:
