@@ -35,10 +35,9 @@ def check_batch_size(batch_size: int) -> None:
 
 def slices(items: Column, length: int) -> Column:
     """Consecutive slices of an array; an empty array has none."""
-    count = F.ceil(F.size(items) / F.lit(length)).cast("int")
-    return F.when(F.size(items) == 0, F.array().cast("array<array<string>>")).otherwise(
-        F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(items, i * length + 1, length))
-    )
+    last = F.ceil(F.size(items) / F.lit(length)).cast("int") - 1
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.slice(items, i * length + 1, length))
 
 
 def document_batches(
@@ -63,12 +62,11 @@ def document_batches(
             i.cast("int").alias("chunk_index"),
         ),
     )
-    chunked = documents.select("document_id", numbered.alias("all")).where(F.size("all") > 0)
-    count = F.ceil(F.size("all") / F.lit(batch_size)).cast("int")
-    parts = F.transform(
-        F.sequence(F.lit(0), count - 1), lambda i: F.slice("all", i * batch_size + 1, batch_size)
+    # no filter on emptiness: it would be pushed down and chunk every text a second time
+    chunked = documents.select("document_id", numbered.alias("all"))
+    return chunked.select(
+        "document_id", F.posexplode(slices(F.col("all"), batch_size)).alias("batch_id", "chunks")
     )
-    return chunked.select("document_id", F.posexplode(parts).alias("batch_id", "chunks"))
 
 
 def _provider_titles(provider: TitleProvider) -> Callable[[Column], Column]:
@@ -123,13 +121,18 @@ def batches_to_chunks(batches: DataFrame) -> DataFrame:
 
 
 def batch_id_of(chunks: DataFrame, batch_size: int = BATCH_SIZE) -> Column:
-    """Batch number of a stored chunk, from its running index or the number its id ends in."""
+    """Batch number of a stored chunk, from its running index or the number its id ends in.
+
+    A chunk with neither goes into a batch of its own, with a negative number, so that no
+    batch grows with its document.
+    """
     check_batch_size(batch_size)
     index = F.regexp_extract("chunk_id", r"-(\d+)\z", 1).try_cast("int")
     metadata = chunks.schema["metadata"].dataType if "metadata" in chunks.columns else None
     if isinstance(metadata, T.StructType) and "chunk_index" in metadata.names:
         index = F.coalesce("metadata.chunk_index", index)
-    return F.floor(F.coalesce(index, F.lit(0)) / batch_size).cast("int")
+    alone = -1 - F.pmod(F.xxhash64("chunk_id"), F.lit(2**31 - 1))
+    return F.coalesce(F.floor(index / batch_size), alone).cast("int")
 
 
 def stored_batches(chunks: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -156,11 +159,8 @@ def stored_batches(chunks: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame
 
 def _by_id(a: Column, b: Column) -> Column:
     # ids of a document differ in a trailing number, so shorter ids come first
-    def key(c: Column) -> list[Column]:
-        return [c["digits"], c["chunk_id"]]
-
-    (n, x), (m, y) = key(a), key(b)
-    return F.when(n < m, -1).when(n > m, 1).when(x < y, -1).when(x > y, 1).otherwise(0)
+    less = (a["digits"] < b["digits"]) | ((a["digits"] == b["digits"]) & (a["chunk_id"] < b["chunk_id"]))
+    return F.when(less, -1).when(a["chunk_id"] == b["chunk_id"], 0).otherwise(1)
 
 
 def _provider_vectors(provider: EmbeddingProvider) -> Callable[[Column], Column]:
@@ -179,16 +179,22 @@ def _provider_vectors(provider: EmbeddingProvider) -> Callable[[Column], Column]
     return F.arrow_udf(embed, ANSWER).asNondeterministic()
 
 
-def embed_batches(batches: DataFrame, provider: EmbeddingProvider, spread: bool = True) -> DataFrame:
-    """Add `answer`, the vectors of a batch in order or the error that lost it.
+def dealt_out(batches: DataFrame, calls_at_once: int | None = None) -> DataFrame:
+    """Hash batches over the tasks that will call a service.
 
-    Calls dominate the cost here, so `spread` hashes batches over all tasks first; the
-    batches of one huge document would otherwise queue up behind each other.
+    Calls dominate the cost, and the batches of one huge document would otherwise queue up
+    behind each other. `calls_at_once` fixes the number of tasks, and so of parallel calls.
     """
-    if spread:
-        batches = batches.repartition("document_id", "batch_id")
+    keys = ["document_id", "batch_id"]
+    return batches.repartition(calls_at_once, *keys) if calls_at_once else batches.repartition(*keys)
+
+
+def embed_batches(
+    batches: DataFrame, provider: EmbeddingProvider, calls_at_once: int | None = None
+) -> DataFrame:
+    """Add `answer`, the vectors of a batch in order or the error that lost it."""
     texts = F.transform("chunks", lambda c: c["content"])
-    return batches.withColumn("answer", _provider_vectors(provider)(texts))
+    return dealt_out(batches, calls_at_once).withColumn("answer", _provider_vectors(provider)(texts))
 
 
 def embedded_chunks(answered: DataFrame) -> DataFrame:

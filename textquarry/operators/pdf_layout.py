@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, code_point_class, nfkc, round_one_decimal, strip
+from ..functions.text import WS, code_point_class, let, nfkc, round_one_decimal, strip
 
 # Fixed values.
 HEADER_RATIO = 0.1
@@ -87,24 +87,29 @@ def is_heading_word() -> Column:
 
 def assembled_segments(words: DataFrame) -> DataFrame:
     """One row per segment: its text, marked `## ` if a heading, and its centre."""
-    ordered = F.sort_array(F.collect_list(F.struct("x0", "word_idx", "text")))
-    text = F.array_join(F.transform(ordered, lambda w: w["text"]), " ")
-    return (
-        words.groupBy(*SEGMENT)
-        .agg(
-            *[F.first(c).alias(c) for c in _GEOMETRY],
-            F.min("x0").alias("first_x0"),
-            F.median((F.col("x0") + F.col("x1")) / 2).alias("centre"),
-            F.bool_or(is_heading_word()).alias("marked"),
-            text.alias("text"),
-        )
-        .withColumn(
-            "text",
-            F.when(
-                F.col("marked"), strip(F.concat(F.lit("## "), F.ltrim("text", F.lit("# "))))
-            ).otherwise(F.col("text")),
+    word = F.struct("x0", "word_idx", "text", ((F.col("x0") + F.col("x1")) / 2).alias("middle"))
+    grouped = words.groupBy(*SEGMENT).agg(
+        *[F.first(c).alias(c) for c in _GEOMETRY],
+        F.min("x0").alias("first_x0"),
+        F.bool_or(is_heading_word()).alias("marked"),
+        F.sort_array(F.collect_list(word)).alias("words"),
+    )
+    text = F.array_join(F.transform("words", lambda w: w["text"]), " ")
+    middles = F.sort_array(F.transform("words", lambda w: w["middle"]))
+    median = let(
+        middles,
+        lambda m: (
+            F.get(m, F.floor((F.size(m) - 1) / 2).cast("int")) + F.get(m, F.floor(F.size(m) / 2).cast("int"))
         )
-        .drop("marked")
+        / 2,
+    )
+    heading = let(text, lambda t: strip(F.concat(F.lit("## "), F.ltrim(t, F.lit("# ")))))
+    return grouped.select(
+        *SEGMENT,
+        *_GEOMETRY,
+        "first_x0",
+        median.alias("centre"),
+        F.when(F.col("marked"), heading).otherwise(text).alias("text"),
     )
 
 

@@ -7,6 +7,7 @@ positioned words, service responses) are derived from those tables by Spark.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from ..operators import html as H
 from ..operators import pdf_layout as P
 from ..sources import chunk_table, files, jsonl
 from ..sources.files import spread
+from ..sources.staging import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +122,12 @@ def s4_page_fallback(spark: SparkSession, folder: str) -> DataFrame:
     return P.with_page_fallback(P.page_texts(P.laid_out_lines(words)), pages)
 
 
+@query
+def s5_strict_text(spark: SparkSession, folder: str) -> DataFrame:
+    raw = F.encode(F.replace("text", F.lit("\n"), F.lit("\r")), "UTF-8")
+    return table(spark, folder, "documents").select("doc_id", files.decode_strict(raw).alias("clean_text"))
+
+
 @query
 def s6_jsonl_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Chunk rows to JSON lines, with blank lines between, and back."""
@@ -154,11 +162,35 @@ def k2_jsonl_lines(spark: SparkSession, folder: str) -> DataFrame:
     return C.chunk_documents(documents(spark, folder)).select(jsonl.chunk_line().alias("line"))
 
 
+@query
+def k2_chunk_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks written as JSON lines to the shared folder and read back."""
+    path = f"{shared_folder(spark)}/textquarry-chunks-{uuid.uuid4().hex}"
+    jsonl.write_chunks(C.chunk_documents(documents(spark, folder)), path)
+    return flat_chunks(jsonl.read_chunks(spark, path))
+
+
 @query
 def k3_dead_letter_texts(spark: SparkSession, folder: str) -> DataFrame:
     return E.dead_letter_texts(answered_batches(spark, folder))
 
 
+@query
+def k4_stored_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table in the shared folder after two loads: all documents, then the labelled ones anew."""
+    path = f"{shared_folder(spark)}/textquarry-table-{uuid.uuid4().hex}"
+    store = chunk_table.ChunkTable(spark, path, DIMENSION, buckets=16)
+    docs = documents(spark, folder)
+    labelled = table(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("document_id"))
+    for part, size, overlap in ((docs, 300, 50), (docs.join(labelled, "document_id", "left_semi"), 500, 100)):
+        batches = E.with_sections(E.document_batches(part, size, overlap))
+        rows = E.succeeded(E.embedded_chunks(E.embed_batches(batches, DigestEmbedder(DIMENSION))))
+        store.sanity_check(store.upsert(rows))
+    return store.read().select(
+        "chunk_id", "document_id", "content", format_vector(F.col("embedding")).alias("vector"), "metadata"
+    )
+
+
 @query
 def k5_call_log(spark: SparkSession, folder: str) -> DataFrame:
     """Records of the embedding calls: how many texts or vectors, or which error."""
@@ -254,7 +286,7 @@ def h14_title_part(spark: SparkSession, folder: str) -> DataFrame:
 def h15_normalise(spark: SparkSession, folder: str) -> DataFrame:
     """Full-width and ligature forms of the texts, brought back to plain ones."""
     wide = F.translate("text", ",.!aeino ", "，．！ａｅｉｎｏ　")
-    return table(spark, folder, "documents").select("doc_id", strip(nfkc(wide)).alias("clean_text"))
+    return spread(table(spark, folder, "documents")).select("doc_id", strip(nfkc(wide)).alias("clean_text"))
 
 
 @query

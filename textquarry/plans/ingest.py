@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,24 +25,28 @@ class Cleaned:
 
 
 def clean_files(spark: SparkSession, paths: str | list[str]) -> Cleaned:
-    """Clean every supported file below `paths`, each kind with its own scan."""
-    markdown = files.read_markdown(spark, paths).select("path", "document_id", "clean_text")
+    """Clean every supported file below `paths`, each kind with its own scan.
+
+    The outcome is written once: texts and rejects come from the same pass.
+    """
+    columns = ["path", "document_id", "clean_text", "error"]
+    no_error, no_text = F.lit(None).cast("string"), F.lit(None).cast("string")
+    markdown = files.read_markdown(spark, paths).withColumn("error", no_error)
     pages = html.clean_html(files.spread(files.read_html(spark, paths)))
-    pdf = pdf_words.read_pdf_pages(files.scan(spark, paths, "pdf"))
-    # Reading a PDF is costly and feeds words, page texts and rejects.
-    pdf = written_once(pdf, "pdf-pages")
-    pdf_texts = pdf_layout.clean_pdf_words(pdf_words.words_of(pdf), pdf_words.page_rows(pdf))
-    documents = (
-        markdown.select("document_id", "clean_text")
-        .unionByName(pages.where(F.col("error").isNull()).select("document_id", "clean_text"))
-        .unionByName(pdf_texts.select(F.col("doc_id").alias("document_id"), "clean_text"))
+    # Reading a PDF is costly, and its words, plain texts and errors go different ways.
+    pdf = written_once(pdf_words.read_pdf_pages(files.scan(spark, paths, "pdf")), "pdf-pages")
+    pdf_texts = pdf_layout.clean_pdf_words(pdf_words.words_of(pdf), pdf_words.page_rows(pdf)).select(
+        no_error.alias("path"), F.col("doc_id").alias("document_id"), "clean_text", no_error.alias("error")
     )
-    rejected = (
-        files.rejects(spark, paths)
-        .unionByName(pages.where(F.col("error").isNotNull()).select("path", "error"))
-        .unionByName(pdf.where(F.col("error").isNotNull()).select("path", "error"))
+    unread = pdf.where(F.col("error").isNotNull()).withColumn("clean_text", no_text)
+    unknown = files.rejects(spark, paths).withColumns({"document_id": no_text, "clean_text": no_text})
+    parts = [markdown, pages, pdf_texts, unread, unknown]
+    outcome = written_once(reduce(DataFrame.unionByName, [p.select(*columns) for p in parts]), "cleaned")
+    failed = F.col("error").isNotNull()
+    return Cleaned(
+        outcome.where(~failed).select("document_id", "clean_text"),
+        outcome.where(failed).select("path", "error"),
     )
-    return Cleaned(documents, rejected)
 
 
 def chunk_batches(
@@ -50,11 +55,12 @@ def chunk_batches(
     size: int = CHUNK_SIZE,
     overlap: int = OVERLAP,
     batch_size: int = BATCH_SIZE,
+    calls_at_once: int | None = None,
 ) -> DataFrame:
     """Documents with titles to batches of finished chunks."""
     batches = embed.document_batches(documents, size, overlap, batch_size)
     if titles is not None:
-        batches = batches.repartition("document_id", "batch_id")
+        batches = embed.dealt_out(batches, calls_at_once)
     return embed.with_sections(batches, titles)
 
 
@@ -71,6 +77,7 @@ def load_batches(
     table: ChunkTable,
     dead_letter_path: str | None = None,
     log_path: str | None = None,
+    calls_at_once: int | None = None,
 ) -> LoadReport:
     """Embed batches, report lost ones, and replace the documents of the others.
 
@@ -78,7 +85,7 @@ def load_batches(
     only some batches the new rows are stored and the old ones go.
     """
     seen = Observation("load")
-    answered = embed.embed_batches(batches, embedder)
+    answered = embed.embed_batches(batches, embedder, calls_at_once)
     size = F.size("chunks")
     answered = answered.observe(
         seen,

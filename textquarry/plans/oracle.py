@@ -102,7 +102,9 @@ _sql(
     f"""SELECT doc_id, CAST(1 AS INT) AS page_no,
         CASE WHEN lang = 'en' THEN {_strip('text')} ELSE lang END AS page_text FROM documents""",
 )
+_sql("s5_strict_text", "SELECT doc_id, text AS clean_text FROM documents")
 _sql("s6_jsonl_round_trip", _CHUNKS)
+_sql("k2_chunk_files", _CHUNKS)
 _sql(
     "s7_titles",
     """SELECT d.document_id,
@@ -357,6 +359,7 @@ def _component(i: int) -> str:
 
 _VECTOR = "'[' || " + " || ',' || ".join(f"printf('%.8f', CAST({_component(i)} AS DOUBLE))" for i in range(DIMENSION)) + " || ']'"
 _sql("e2_embeddings", f"SELECT chunk_id, {_VECTOR} AS vector FROM ({_CHUNKS})")
+_METADATA = "CAST(to_json(struct_pack(title := title, section := section, chunk_index := chunk_index)) AS VARCHAR)"
 _EMBEDDING_TEXT = "'[' || array_to_string(list_transform(embedding, lambda x: printf('%.8f', CAST(x AS DOUBLE))), ',') || ']'"
 _sql(
     "e4_embedding_responses",
@@ -373,6 +376,7 @@ _sql(
     f"""SELECT * FROM ({_CHUNKS}) WHERE document_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)
         UNION ALL SELECT * FROM ({_LARGER})""",
 )
+_sql("k4_stored_table", f"SELECT chunk_id, document_id, content, {_VECTOR} AS vector, {_METADATA} AS metadata FROM ({ORACLE_SQL['u1_upsert']})")
 _STORED = """SELECT CAST(label AS VARCHAR) AS document_id, len(CASE WHEN vec_id % 5 = 0 THEN embedding[1:63] ELSE embedding END) AS n,
              CASE WHEN vec_id % 7 = 0 THEN '' ELSE CAST(vec_id AS VARCHAR) END AS content,
              CASE WHEN vec_id % 11 = 0 THEN '{' ELSE '{"label":' || label || '}' END AS metadata FROM embeddings"""
@@ -393,7 +397,6 @@ _sql(
     """SELECT vec_id, CAST(len(embedding) AS INT) AS dimension, CAST(printf('%.8f', CAST(embedding[1] AS DOUBLE)) AS DOUBLE) AS first,
        CAST(printf('%.8f', CAST(embedding[-1] AS DOUBLE)) AS DOUBLE) AS last FROM embeddings""",
 )
-_METADATA = "CAST(to_json(struct_pack(title := title, section := section, chunk_index := chunk_index)) AS VARCHAR)"
 _sql("u4_metadata_json", f"SELECT chunk_id, {_METADATA} AS metadata FROM ({_CHUNKS})")
 _PAGE_CHUNKS = _headed_chunks(_PAGE_BLOCKS.replace("url AS title", "CAST(page_id AS VARCHAR) AS title"))
 _sql(
