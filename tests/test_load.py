@@ -192,3 +192,85 @@ def test_response_parsing(spark):
     )
     got = df.select(E.parse_embedding_response(F.col("b")), E.parse_title_response(F.col("b"))).collect()
     assert [tuple(r) for r in got] == [([[1.0, 2.5], [3.0]], None), (None, None), (None, "标题"), (None, None)]
+
+
+def test_title_log(spark):
+    docs = spark.createDataFrame(
+        [("d", "t", "## H\nown heading"), ("e", "t", "good"), ("f", "t", "bad")],
+        "document_id string, title string, clean_text string",
+    )
+
+    class Titles:
+        def title(self, text):
+            if text == "bad":
+                raise ProviderError("no")
+            return "name"
+
+    batches = E.titled(E.document_batches(docs), Titles())
+    log = {(r.call_id, r.kind): json.loads(r.body) for r in E.title_log(batches, "m").collect()}
+    assert log == {
+        ("section-e-0", "request"): {"payload": {"model": "m", "input": "good"}},
+        ("section-e-0", "response"): {"title": "name"},
+        ("section-f-0", "request"): {"payload": {"model": "m", "input": "bad"}},
+        ("section-f-0", "error"): {"title": "no title"},
+    }
+    sections = {r.document_id: r.metadata.section for r in E.batches_to_chunks(E.with_sections(batches)).collect()}
+    assert sections == {"d": "H", "e": "name", "f": "bad"}
+
+
+def test_chunks_without_numbers_do_not_share_a_batch(spark):
+    rows = [(f"x{i}", "d", str(i), {}) for i in range(40)]
+    batches = E.stored_batches(spark.createDataFrame(rows, LOADER_CHUNK))
+    assert batches.agg(F.max(F.size("chunks"))).first()[0] == 1
+
+
+class Connection:
+    def __init__(self, fails=False):
+        self.log, self.fails = [], fails
+
+    def cursor(self):
+        return self
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        return False
+
+    def execute(self, statement):
+        self.log.append(statement.split()[0])
+        if self.fails and statement.startswith("INSERT"):
+            raise OSError("lost")
+
+    def commit(self):
+        self.log.append("commit")
+
+    def rollback(self):
+        self.log.append("rollback")
+
+    def close(self):
+        self.log.append("close")
+
+
+def test_database_swap_is_one_transaction():
+    from textquarry.sources.postgres import swap_in
+
+    good, bad = Connection(), Connection(fails=True)
+    swap_in(good, "rag", "rag_incoming")
+    assert good.log == ["DELETE", "INSERT", "DROP", "commit", "close"]
+    with pytest.raises(OSError):
+        swap_in(bad, "rag", "rag_incoming")
+    assert bad.log == ["DELETE", "INSERT", "rollback", "close"]
+
+
+def test_database_settings(tmp_path):
+    from textquarry.sources.postgres import settings
+
+    config = tmp_path / "c.json"
+    config.write_text('{"dsn": "a", "table": "t", "vector_dimension": 8}')
+    assert settings(str(config), {}) == ("a", "t", 8)
+    assert settings(str(config), {"POSTGRES_DSN": "b", "POSTGRES_VECTOR_DIMENSION": "4"}) == ("b", "t", 4)
+    assert settings(None, {"POSTGRES_DSN": "b", "POSTGRES_TABLE": "u"}) == ("b", "u", 1536)
+    for env in ({}, {"POSTGRES_DSN": "b"}, {"POSTGRES_DSN": "b", "POSTGRES_TABLE": "u", "POSTGRES_VECTOR_DIMENSION": "x"}):
+        with pytest.raises(TableError):
+            settings(None, env)

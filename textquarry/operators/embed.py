@@ -77,7 +77,7 @@ def _provider_titles(provider: TitleProvider) -> Callable[[Column], Column]:
             try:
                 return provider.title(text).strip()
             except ProviderError:
-                return ""
+                return None
 
         named = [None if b is None else [one(t) for t in b] for b in texts.to_pylist()]
         return pa.array(named, type=pa.list_(pa.string()))
@@ -85,32 +85,50 @@ def _provider_titles(provider: TitleProvider) -> Callable[[Column], Column]:
     return F.arrow_udf(name, T.ArrayType(T.StringType())).asNondeterministic()
 
 
-def with_sections(batches: DataFrame, provider: TitleProvider | None = None) -> DataFrame:
-    """Settle each chunk's section: inherited heading, else the provider's title, else fallback.
+def titled(batches: DataFrame, provider: TitleProvider) -> DataFrame:
+    """Add `titles`, the provider's answer per chunk; null where it was not asked or failed.
 
-    The provider sees only chunks without a heading of their own; its errors count as no title.
+    It is asked only about chunks without a heading of their own.
     """
+    asked = F.transform("chunks", lambda c: F.when(c["inherited"].isNull(), c["content"]))
+    return batches.withColumn("titles", _provider_titles(provider)(asked))
 
-    def settled(c: Column, title: Column) -> Column:
-        section = F.coalesce(c["inherited"], F.nullif(title, F.lit("")), c["fallback"])
-        return F.struct(
-            c["chunk_id"].alias("chunk_id"),
-            c["content"].alias("content"),
-            F.struct(c["title"].alias("title"), section.alias("section"), c["chunk_index"].alias("chunk_index")).alias(
-                "metadata"
-            ),
-        )
-
-    if provider is None:
-        return batches.withColumn(
-            "chunks", F.transform("chunks", lambda c: settled(c, F.lit(None).cast("string")))
-        )
-    open_texts = F.transform("chunks", lambda c: F.when(c["inherited"].isNull(), c["content"]))
-    return (
-        batches.withColumn("titles", _provider_titles(provider)(open_texts))
-        .withColumn("chunks", F.zip_with("chunks", "titles", settled))
-        .drop("titles")
+
+def _settled(c: Column, title: Column) -> Column:
+    section = F.coalesce(c["inherited"], F.nullif(title, F.lit("")), c["fallback"])
+    metadata = F.struct(
+        c["title"].alias("title"), section.alias("section"), c["chunk_index"].alias("chunk_index")
+    )
+    return F.struct(c["chunk_id"].alias("chunk_id"), c["content"].alias("content"), metadata.alias("metadata"))
+
+
+def with_sections(batches: DataFrame, provider: TitleProvider | None = None) -> DataFrame:
+    """Settle each chunk's section: inherited heading, else the service's title, else fallback.
+
+    Batches may bring `titles` along; otherwise the provider, if any, is asked.
+    """
+    if provider is not None:
+        batches = titled(batches, provider)
+    if "titles" not in batches.columns:
+        no_title = F.lit(None).cast("string")
+        return batches.withColumn("chunks", F.transform("chunks", lambda c: _settled(c, no_title)))
+    return batches.withColumn("chunks", F.zip_with("chunks", "titles", _settled)).drop("titles")
+
+
+def title_log(titled_batches: DataFrame, model: str = "") -> DataFrame:
+    """Request and response records of the title calls, one call per chunk."""
+    calls = titled_batches.select(F.explode(F.arrays_zip("chunks", "titles")).alias("z")).where(
+        F.col("z.chunks.inherited").isNull()
+    )
+    request = F.struct(F.lit(model).alias("model"), F.col("z.chunks.content").alias("input"))
+    records = F.array(
+        F.struct(F.lit("request").alias("kind"), F.to_json(F.struct(request.alias("payload"))).alias("body")),
+        F.struct(
+            F.when(F.col("z.titles").isNull(), "error").otherwise("response").alias("kind"),
+            F.to_json(F.struct(F.coalesce("z.titles", F.lit("no title")).alias("title"))).alias("body"),
+        ),
     )
+    return calls.select(F.concat(F.lit("section-"), "z.chunks.chunk_id").alias("call_id"), F.inline(records))
 
 
 def batches_to_chunks(batches: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.providers import DigestEmbedder, HttpEmbedder, HttpTitles, ProviderError
+from ..operators.embed import batches_to_chunks
 from ..sources import files, jsonl
 from ..sources.chunk_table import ChunkTable, TableError
 from .ingest import chunk_batches, clean_files, ingest_files
@@ -41,7 +42,6 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--clean-output-dir", default="data/clean")
     ingest.add_argument("--chunks-output-dir", default="data/chunks")
     ingest.add_argument("--dead-letter-dir", default="data/dead_letters")
-    ingest.add_argument("--log-dir")
     ingest.add_argument("--loader-batch-size", type=int, default=16)
     ingest.add_argument("--table", default="data/rag_chunks")
     ingest.add_argument("--dimension", type=int, default=1536)
@@ -49,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--embedding-model", default="")
     for step in (chunk, ingest):
         step.add_argument("--disable-llm", action="store_true", help="never call a title service")
+        step.add_argument("--log-dir", help="folder for records of service calls")
         step.add_argument("--title-url")
         step.add_argument("--title-model", default="")
     return parser
@@ -88,9 +89,7 @@ def run_chunk(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.document_id:
         texts = texts.withColumn("document_id", F.lit(args.document_id))
     documents = files.with_titles(texts, title=args.title)
-    batches = chunk_batches(documents, _titles(args))
-    from ..operators.embed import batches_to_chunks
-
+    batches = chunk_batches(documents, _titles(args), log_path=args.log_dir)
     jsonl.write_chunks(batches_to_chunks(batches), args.output_dir)
 
 
@@ -100,6 +99,8 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.meta_file and args.title is None:
         _must_exist(args.meta_file)
         meta = files.read_meta(spark, args.meta_file)
+        if not meta.where(~F.col("valid")).isEmpty():
+            raise ValueError(f"Unable to parse metadata JSON: {args.meta_file}")
         if args.document_id or Path(args.input_file).is_file():
             own = args.document_id or Path(args.input_file).stem
             meta = meta.withColumn("document_id", F.lit(own))

@@ -56,12 +56,16 @@ def chunk_batches(
     overlap: int = OVERLAP,
     batch_size: int = BATCH_SIZE,
     calls_at_once: int | None = None,
+    log_path: str | None = None,
 ) -> DataFrame:
     """Documents with titles to batches of finished chunks."""
     batches = embed.document_batches(documents, size, overlap, batch_size)
     if titles is not None:
-        batches = embed.dealt_out(batches, calls_at_once)
-    return embed.with_sections(batches, titles)
+        batches = embed.titled(embed.dealt_out(batches, calls_at_once), titles)
+        if log_path:
+            batches = written_once(batches, "titles")
+            jsonl.write_call_log(embed.title_log(batches, getattr(titles, "model", "")), log_path)
+    return embed.with_sections(batches)
 
 
 @dataclass
@@ -142,7 +146,7 @@ def ingest_files(
     documents = files.with_titles(documents, meta, title)
     if clean_path:
         jsonl.write_clean_texts(documents, clean_path)
-    batches = chunk_batches(documents, titles, batch_size=batch_size)
+    batches = chunk_batches(documents, titles, batch_size=batch_size, log_path=log_path)
     if chunks_path:
         # titles may come from a service: name the chunks once, then use them twice
         batches = written_once(batches, "batches")

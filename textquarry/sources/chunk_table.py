@@ -69,6 +69,33 @@ def integrity(rows: DataFrame, dimension: int, *keys: str) -> DataFrame:
     )
 
 
+def checked(rows: DataFrame, dimension: int) -> DataFrame:
+    """The rows themselves, if all of them can be stored."""
+    counts = [c.alias(n) for n, c in defects(dimension).items()]
+    found = rows.agg(F.count(F.lit(1)).alias("rows"), *counts).first().asDict()
+    if not found.pop("rows"):
+        raise TableError("no chunks to store")
+    if any(found.values()):
+        raise TableError(f"chunks refused: { {k: v for k, v in found.items() if v} }")
+    twice = rows.groupBy("chunk_id").count().where("count > 1").take(1)
+    if twice:
+        raise TableError(f"chunk id occurs more than once: {twice[0].chunk_id}")
+    return rows
+
+
+def mismatches(sent: DataFrame, stored: DataFrame) -> None:
+    """Fail if the integrity counts of stored documents are not those of what was sent."""
+    expected = sent.groupBy("document_id").agg(F.count(F.lit(1)).alias("expected"))
+    damaged = F.col("wrong_dimension") + F.col("empty_content") + F.col("invalid_metadata") > 0
+    wrong = (
+        expected.join(stored, "document_id", "left")
+        .where((F.coalesce("rows", F.lit(0)) != F.col("expected")) | damaged)
+        .take(5)
+    )
+    if wrong:
+        raise TableError(f"stored chunks do not match: {wrong}")
+
+
 @dataclass
 class ChunkTable:
     spark: SparkSession
@@ -95,21 +122,9 @@ class ChunkTable:
         touched = [r[0] for r in rows.select(self._bucket().alias("b")).distinct().collect()]
         return self._stored().where(F.col("doc_bucket").isin(touched))
 
-    def _check(self, rows: DataFrame) -> None:
-        found = rows.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in defects(self.dimension).items()])
-        counts = found.first().asDict()
-        if not counts.pop("rows"):
-            raise TableError("no chunks to store")
-        if any(counts.values()):
-            raise TableError(f"chunks refused: { {k: v for k, v in counts.items() if v} }")
-        twice = rows.groupBy("chunk_id").count().where("count > 1").limit(1).collect()
-        if twice:
-            raise TableError(f"chunk id occurs more than once: {twice[0][0]}")
-
     def upsert(self, embedded: DataFrame) -> DataFrame:
         """Replace the documents of `embedded`; nothing is written if any row is refused."""
-        incoming = written_once(to_vector_rows(embedded), "incoming")
-        self._check(incoming)
+        incoming = checked(written_once(to_vector_rows(embedded), "incoming"), self.dimension)
         old = self._of(incoming)
         new = replaced(old, incoming.withColumn("doc_bucket", self._bucket()))
         (
@@ -132,16 +147,4 @@ class ChunkTable:
 
     def sanity_check(self, incoming: DataFrame) -> None:
         """Compare the stored rows of the incoming documents with what was sent, all of them."""
-        expected = incoming.groupBy("document_id").agg(F.count(F.lit(1)).alias("expected"))
-        stored = integrity(self._of(incoming), self.dimension, "document_id")
-        wrong = (
-            expected.join(stored, "document_id", "left")
-            .where(
-                (F.coalesce("rows", F.lit(0)) != F.col("expected"))
-                | (F.col("wrong_dimension") + F.col("empty_content") + F.col("invalid_metadata") > 0)
-            )
-            .limit(5)
-            .collect()
-        )
-        if wrong:
-            raise TableError(f"stored chunks do not match: {wrong}")
+        mismatches(incoming, integrity(self._of(incoming), self.dimension, "document_id"))

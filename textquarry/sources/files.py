@@ -115,11 +115,12 @@ def read_clean_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_meta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """`(document_id, title)` from JSON files named after their documents."""
+    """`(document_id, title, valid)` from JSON files named after their documents."""
     files = spark.read.text(paths, wholetext=True).select("value", "_metadata.file_path")
     return files.select(
         document_id(F.col("file_path")).alias("document_id"),
         F.get_json_object("value", "$.title").alias("title"),
+        F.try_parse_json("value").isNotNull().alias("valid"),
     )
 
 
