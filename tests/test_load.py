@@ -274,3 +274,15 @@ def test_database_settings(tmp_path):
     for env in ({}, {"POSTGRES_DSN": "b"}, {"POSTGRES_DSN": "b", "POSTGRES_TABLE": "u", "POSTGRES_VECTOR_DIMENSION": "x"}):
         with pytest.raises(TableError):
             settings(None, env)
+
+
+def test_one_long_document_spreads_over_tasks(spark):
+    text = " ".join(f"word{i}" for i in range(60_000))
+    docs = spark.createDataFrame([("d", "t", text)], "document_id string, title string, clean_text string")
+    dealt = E.dealt_out(E.with_sections(E.document_batches(docs)), 8)
+    sizes = [r[0] for r in dealt.groupBy(F.spark_partition_id()).agg(F.sum(F.size("chunks"))).select("sum(size(chunks))").collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    answered = E.embed_batches(E.with_sections(E.document_batches(docs)), DigestEmbedder(2), 8)
+    rows = E.succeeded(E.embedded_chunks(answered)).collect()
+    numbers = sorted(r.metadata.chunk_index for r in rows)
+    assert numbers == list(range(len(rows))) and len(rows) == sum(sizes)

@@ -82,8 +82,8 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def round_one_decimal(c: Column) -> Column:
-    """Round a double to one decimal as Python does: by its exact binary value, ties to even.
+def tenths(c: Column) -> Column:
+    """A double in whole tenths, rounded as Python rounds: by its exact binary value, ties to even.
 
     Ten times the value is kept as an unevaluated sum `head + tail` of two doubles
     (8x and 2x are exact), so the comparison with the half-way point has no rounding error.
@@ -95,4 +95,4 @@ def round_one_decimal(c: Column) -> Column:
     low = F.floor(head).cast("double")
     side = (head - low - F.lit(0.5)) + tail
     up = (side > 0) | ((side == 0) & (low % 2 != 0))
-    return F.when(up, low + 1).otherwise(low) / F.lit(10.0)
+    return F.when(up, low + 1).otherwise(low).cast("bigint")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, code_point_class, let, nfkc, round_one_decimal, strip
+from ..functions.text import WS, code_point_class, let, lstrip, nfkc, strip, tenths
 
 # Fixed values.
 HEADER_RATIO = 0.1
@@ -27,7 +27,7 @@ BULLETS = "-*•●·"
 ROMAN_DIGITS = "ivxlcdmIVXLCDMİı"  # with the two letters that case folding adds to `i`
 
 PAGE = ["doc_id", "page_no"]
-LINE = [*PAGE, "line_top"]
+LINE = [*PAGE, "line_key"]  # the top of a line in tenths: an integer groups exactly
 SEGMENT = [*LINE, "segment_no"]
 _GEOMETRY = ["page_width", "body_size", "line_gap"]
 
@@ -41,26 +41,46 @@ def filtered_words(words: DataFrame) -> DataFrame:
         words.withColumns({"text": strip(F.col("text")), "x1": F.coalesce("x1", "x0", F.lit(0.0)), **number})
         .withColumn("fontname", F.coalesce("fontname", F.lit("")))
         .where(
-            (F.col("text") != "")
+            (lstrip(F.col("text")) != "")
             & (F.col("top") >= F.col("page_height") * HEADER_RATIO)
             & (F.col("bottom") <= F.col("page_height") * FOOTER_RATIO)
         )
     )
 
 
+def arranged(words: DataFrame) -> DataFrame:
+    """Bring the words of a page together, in lines from left to right.
+
+    This one shuffle and sort serve the windows over pages as well as those over lines.
+    Font name, top and bottom are reduced to what is asked of them before they are moved.
+    """
+    height = F.when(F.col("bottom") >= F.col("top"), F.col("bottom") - F.col("top"))
+    needed = words.select(
+        *PAGE,
+        tenths(F.col("top")).alias("line_key"),
+        "word_idx",
+        "page_width",
+        "text",
+        "x0",
+        "x1",
+        "size",
+        height.alias("height"),
+        F.rlike("fontname", F.lit("(?i)bold")).alias("bold"),
+    )
+    return needed.repartition(*PAGE).sortWithinPartitions(*LINE, "x0", "word_idx")
+
+
 def page_measures(words: DataFrame) -> DataFrame:
     """Add the median font size and the paragraph gap of each word's page."""
     page = W.partitionBy(*PAGE)
     size = F.median(F.when(F.col("size") > 0, F.col("size"))).over(page)
-    height = F.median(
-        F.when(F.col("bottom") >= F.col("top"), F.col("bottom") - F.col("top"))
-    ).over(page)
+    height = F.median("height").over(page)
     return words.withColumns(
         {
             "body_size": F.coalesce(size, F.lit(0.0)),
             "line_gap": F.coalesce(height * LINE_GAP_FACTOR, F.lit(DEFAULT_LINE_GAP)),
         }
-    )
+    ).drop("height")
 
 
 def line_segments(words: DataFrame) -> DataFrame:
@@ -73,16 +93,19 @@ def line_segments(words: DataFrame) -> DataFrame:
     )
     starts = F.col("x0") - F.lag("x1").over(in_line) > widest
     return (
-        words.withColumn("line_top", round_one_decimal(F.col("top")))
-        .withColumn("starts", F.coalesce(starts.cast("int"), F.lit(0)))
+        words.withColumn("starts", F.coalesce(starts.cast("int"), F.lit(0)))
         .withColumn("segment_no", F.sum("starts").over(in_line).cast("int"))
         .drop("starts")
     )
 
 
+def line_top() -> Column:
+    return F.col("line_key") / F.lit(10.0)
+
+
 def is_heading_word() -> Column:
     larger = (F.col("body_size") > 0) & (F.col("size") >= F.col("body_size") * HEADING_SIZE_FACTOR)
-    return larger | F.contains(F.lower("fontname"), F.lit("bold"))
+    return larger | F.col("bold")
 
 
 def assembled_segments(words: DataFrame) -> DataFrame:
@@ -106,6 +129,7 @@ def assembled_segments(words: DataFrame) -> DataFrame:
     heading = let(text, lambda t: strip(F.concat(F.lit("## "), F.ltrim(t, F.lit("# ")))))
     return grouped.select(
         *SEGMENT,
+        line_top().alias("line_top"),
         *_GEOMETRY,
         "first_x0",
         median.alias("centre"),
@@ -233,10 +257,13 @@ def page_texts(lines: DataFrame) -> DataFrame:
     return collected.select(*PAGE, strip(text).alias("page_text"))
 
 
+def measured_words(words: DataFrame) -> DataFrame:
+    return page_measures(arranged(filtered_words(words)))
+
+
 def laid_out_lines(words: DataFrame) -> DataFrame:
     """Words to lines with column and joint; the words are shuffled once, by page."""
-    measured = page_measures(filtered_words(words))
-    return joined_lines(page_columns(assembled_segments(line_segments(measured))))
+    return joined_lines(page_columns(assembled_segments(line_segments(measured_words(words)))))
 
 
 def with_page_fallback(page_text: DataFrame, pages: DataFrame) -> DataFrame:

@@ -157,6 +157,13 @@ def s9_table_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("document_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def s9_random_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """A few random rows of the whole table; no two runs need agree."""
+    rows = stored_vectors(spark, folder)
+    return rows.orderBy(F.rand()).limit(chunk_table.SAMPLE_ROWS).select("chunk_id", "document_id", F.size("embedding").alias("dimension"))
+
+
 @query
 def k2_jsonl_lines(spark: SparkSession, folder: str) -> DataFrame:
     return C.chunk_documents(documents(spark, folder)).select(jsonl.chunk_line().alias("line"))
@@ -349,26 +356,29 @@ def p1_filtered_words(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p2_page_measures(spark: SparkSession, folder: str) -> DataFrame:
-    words = P.page_measures(P.filtered_words(page_words(spark, folder)))
+    words = P.measured_words(page_words(spark, folder))
     return words.groupBy(*P.PAGE).agg(F.max("body_size").alias("body_size"), F.max("line_gap").alias("line_gap"))
 
 
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
-    words = P.line_segments(P.page_measures(P.filtered_words(page_words(spark, folder))))
+    words = P.line_segments(P.measured_words(page_words(spark, folder)))
     return P.assembled_segments(words)
 
 
 @query
 def p4_lines(spark: SparkSession, folder: str) -> DataFrame:
-    words = P.line_segments(P.page_measures(P.filtered_words(page_words(spark, folder))))
-    return words.groupBy(*P.LINE).agg(
+    words = P.line_segments(P.measured_words(page_words(spark, folder)))
+    lines = words.groupBy(*P.LINE).agg(
         F.count(F.lit(1)).alias("words"), (F.max("segment_no") + 1).alias("segments")
     )
+    return lines.select(*P.PAGE, P.line_top().alias("line_top"), "words", "segments")
 
 
 @query
 def p5_segments(spark: SparkSession, folder: str) -> DataFrame:
-    return _segments(spark, folder).select(*P.SEGMENT, "first_x0", "centre", "text")
+    return _segments(spark, folder).select(
+        *P.PAGE, "line_top", "segment_no", "first_x0", "centre", "text"
+    )
 
 
 @query
@@ -394,7 +404,15 @@ def p15_page_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p16_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return P.clean_pdf_words(page_words(spark, folder))
+    """Whole documents; a page whose words all lie in the bands takes its plain text."""
+    n_words = F.size(F.split(F.regexp_replace("text", "[ \n]+", " "), " "))
+    pages = spread(table(spark, folder, "documents")).select(
+        "doc_id",
+        "lang",
+        F.explode(F.sequence(F.lit(1), F.ceil(n_words / F.lit(240)).cast("int"))).alias("page_no"),
+    )
+    plain = F.concat(F.lit(" "), "lang", F.lit(" page "), "page_no", F.lit("\n"))
+    return P.clean_pdf_words(page_words(spark, folder), pages.select(*P.PAGE, plain.alias("fallback_text")))
 
 
 # ---------------------------------------------------------------- chunks

@@ -318,7 +318,15 @@ _pdf("p5_segments", "SELECT doc_id, page_no, line_top, segment_no, first_x0, cen
 _pdf("p7_columns", "SELECT doc_id, page_no, max(boundary) AS boundary, count(*) FILTER (column_no = 0) AS left_lines, count(*) FILTER (column_no = 1) AS right_lines FROM placed GROUP BY doc_id, page_no")
 _pdf("p13_joints", "SELECT doc_id, page_no, column_no, line_top, segment_no, text, kept, joint FROM joined")
 _pdf("p15_page_texts", "SELECT doc_id, page_no, page_text FROM page_texts")
-_pdf("p16_documents", "SELECT doc_id, coalesce(string_agg(page_text, chr(10) || chr(10) ORDER BY page_no) FILTER (page_text <> ''), '') AS clean_text FROM page_texts GROUP BY doc_id")
+_pdf(
+    "p16_documents",
+    f""", all_pages AS (
+          SELECT w.doc_id, w.page_no, coalesce(t.page_text, d.lang || ' page ' || w.page_no) AS page_text
+          FROM (SELECT DISTINCT doc_id, page_no FROM words) w JOIN documents d USING (doc_id)
+          LEFT JOIN page_texts t ON t.doc_id = w.doc_id AND t.page_no = w.page_no)
+        SELECT doc_id, coalesce(string_agg(page_text, chr(10) || chr(10) ORDER BY page_no) FILTER (page_text <> ''), '')
+        AS clean_text FROM all_pages GROUP BY doc_id""",
+)
 
 # ---------------------------------------------------------------- chunks
 

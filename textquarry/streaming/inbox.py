@@ -46,11 +46,12 @@ def watch_inbox(
     )
 
     def ingest(batch: DataFrame, _epoch: int) -> None:
+        # one pass over the contents: Markdown rows go past the page cleaner as null
         text = newest_versions(batch).withColumn("text", decode_text(F.col("content"))).drop("content")
-        pages = clean_html(text.where("kind = 'html'"), html="text").where(F.col("error").isNull())
-        plain = text.where("kind = 'markdown'").withColumn("clean_text", F.col("text"))
-        documents = pages.select("document_id", "clean_text").unionByName(
-            plain.select("document_id", "clean_text")
+        is_page = F.col("kind") == "html"
+        cleaned = clean_html(text.withColumn("html", F.when(is_page, F.col("text"))))
+        documents = cleaned.where(F.col("error").isNull()).select(
+            "document_id", F.when(is_page, F.col("clean_text")).otherwise(F.col("text")).alias("clean_text")
         )
         load_batches(chunk_batches(with_titles(documents), titles), embedder, table)
 
