@@ -1,7 +1,9 @@
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
-from textquarry.functions.text import nfkc
+from textquarry.functions import text as functions
 from textquarry.operators.html import BlockLister, clean_html
 
 CASES = {
@@ -88,8 +90,9 @@ def test_depth_is_not_limited():
 
 
 @pytest.mark.parametrize("text", ["ascii", "Ａ，ﬁ²", "é", "ｶﾞ", "Å", "각", "𝒳", ""])
-def test_nfkc(spark, text):
-    import unicodedata
-
-    got = spark.createDataFrame([(text,)], "t string").select(nfkc(F.col("t"))).first()[0]
+@pytest.mark.parametrize("in_jvm", [True, False])
+def test_nfkc(spark, monkeypatch, text, in_jvm):
+    assert functions._icu_within_reach()
+    monkeypatch.setattr(functions, "_icu_within_reach", lambda: in_jvm)
+    got = spark.createDataFrame([(text,)], "t string").select(functions.nfkc(F.col("t"))).first()[0]
     assert got == unicodedata.normalize("NFKC", text)

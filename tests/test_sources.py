@@ -115,3 +115,16 @@ def test_command_line(spark, folder, tmp_path):
     assert [r.chunk_id for r in stored] == ["DOC-I-0"]
     assert run("ingest", "--input-file", str(folder / "sheet.csv"), *base) == 2
     assert run("ingest", "--input-file", str(folder / "two.md"), "--meta-file", "/no/meta.json", *base) == 1
+
+
+def test_names_with_other_characters(spark, tmp_path):
+    place, metas = tmp_path / "in", tmp_path / "meta"
+    place.mkdir()
+    metas.mkdir()
+    (place / "产品 a+b.md").write_text("text", encoding="utf-8")
+    (metas / "产品 a+b.json").write_text('{"title": "标题"}', encoding="utf-8")
+    (metas / "broken.json").write_text("{", encoding="utf-8")
+    meta = files.read_meta(spark, str(metas))
+    assert {r.document_id: r.valid for r in meta.collect()} == {"产品 a+b": True, "broken": False}
+    docs = files.with_titles(files.read_markdown(spark, str(place)), meta.unionByName(meta))
+    assert [(r.document_id, r.title) for r in docs.collect()] == [("产品 a+b", "标题")]

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import sys
+import unicodedata
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The characters Python counts as whitespace, and those at which
 # `str.splitlines` breaks a line (a subset of the former).
@@ -65,16 +69,38 @@ def universal_newlines(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("\r")), F.regexp_replace(c, "\r\n?", "\n")).otherwise(c)
 
 
+def _composed(c: Column) -> Column:
+    return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True))
+
+
+@F.arrow_udf(T.StringType())
+def _composed_in_python(texts: pa.Array) -> pa.Array:
+    done = [None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()]
+    return pa.array(done, type=pa.string())
+
+
+@cache
+def _icu_within_reach() -> bool:
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return True
+    try:
+        return bool(spark.range(0).select(_composed(F.lit("a"))).columns)
+    except AnalysisException:
+        return False
+
+
 def nfkc(c: Column) -> Column:
     """Unicode compatibility composition.
 
-    Spark's own ICU classes do the work through the SQL function `reflect`, so
-    rows never leave the JVM; pure ASCII text, which cannot change, skips the call.
+    The ICU library that comes with Spark does the work through the SQL function
+    `reflect`, so rows never leave the JVM; a Spark built without it falls back to
+    Python. Pure ASCII text, which cannot change, skips either.
     """
-    composed = F.reflect(
-        F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True)
-    )
-    return F.when(F.octet_length(c) > F.length(c), composed).otherwise(c)
+    changeable = F.octet_length(c) > F.length(c)
+    if _icu_within_reach():
+        return F.when(changeable, _composed(c)).otherwise(c)
+    return F.coalesce(_composed_in_python(F.when(changeable, c)), c)
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

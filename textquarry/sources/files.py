@@ -116,9 +116,9 @@ def read_clean_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_meta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """`(document_id, title, valid)` from JSON files named after their documents."""
-    files = spark.read.text(paths, wholetext=True).select("value", "_metadata.file_path")
+    files = spark.read.format("binaryFile").load(paths).withColumn("value", decode_text(F.col("content")))
     return files.select(
-        document_id(F.col("file_path")).alias("document_id"),
+        document_id(F.col("path")).alias("document_id"),
         F.get_json_object("value", "$.title").alias("title"),
         F.try_parse_json("value").isNotNull().alias("valid"),
     )
@@ -130,12 +130,15 @@ def effective_title(explicit: Column, meta: Column, document: Column) -> Column:
 
 
 def with_titles(documents: DataFrame, meta: DataFrame | None = None, title: str | None = None) -> DataFrame:
-    """Add `title` to documents from one explicit title, or from a table of them, or from the id."""
+    """Add `title` to documents from one explicit title, or from a table of them, or from the id.
+
+    Of several titles for one id the last in order is taken, so documents never multiply.
+    """
     explicit = F.lit(title).cast("string")
     if meta is None:
         none = F.lit(None).cast("string")
         return documents.withColumn("title", effective_title(explicit, none, F.col("document_id")))
-    known = meta.select("document_id", F.col("title").alias("_meta"))
+    known = meta.groupBy("document_id").agg(F.max("title").alias("_meta"))
     return (
         documents.join(known, "document_id", "left")
         .withColumn("title", effective_title(explicit, F.col("_meta"), F.col("document_id")))
