@@ -28,6 +28,7 @@ VOID_TAGS = {
 CONTAINER_TAGS = {"div", "section", "article", "main", "body"}
 HEADING_TAGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 NOT_INLINE_TAGS = {"ul", "ol", "table"}
+BLOCK_TAGS = {"p", "pre", "blockquote", "a"} | NOT_INLINE_TAGS | HEADING_TAGS
 
 _ROW = T.StructType(
     [T.StructField("head", T.BooleanType()), T.StructField("cells", T.ArrayType(T.StringType()))]
@@ -81,16 +82,17 @@ class _Open:
         self.parts: list[str] = []
         self.block: dict | None = None  # filled with the inline text on closing
         self.href = ""
-        self.items = 0
-        self.cell: tuple[list, int] | None = None
-        self.title: list[str] | None = None
-        # inherited: text wanted / no output / not in the tree / under h1 or title / enclosing table / depth
-        self.wanted = bool(up and up.wanted)
-        self.muted = bool(up and up.muted)
-        self.hidden = bool(up and up.hidden)
-        self.headline = bool(up and up.headline)
-        self.rows = up.rows if up else None
-        self.depth = up.depth if up else 0
+        self.items = 0  # list items so far
+        self.row: dict | None = None  # the table row a `tr` stands for
+        self.cell: tuple[list, int] | None = None  # where the text of a cell goes
+        self.title: list[str] | None = None  # where the text of an h1 or title goes
+        # inherited from the parent:
+        self.wanted = bool(up and up.wanted)  # somebody needs the text
+        self.muted = bool(up and up.muted)  # inside noise
+        self.hidden = bool(up and up.hidden)  # inside noise, even if under a body there
+        self.headline = bool(up and up.headline)  # inside an h1 or title
+        self.rows = up.rows if up else None  # rows of the table around
+        self.depth = up.depth if up else 0  # of the list
 
 
 class BlockLister(HTMLParser):
@@ -122,7 +124,7 @@ class BlockLister(HTMLParser):
         if parent.role == "container":
             if tag in CONTAINER_TAGS or tag.startswith("sr-"):
                 return "container"
-            return tag if tag in {"p", "pre", "blockquote", "a", "ul", "ol", "table"} | HEADING_TAGS else "other"
+            return tag if tag in BLOCK_TAGS else "other"
         if parent.role in ("ul", "ol") and tag == "li":
             return "li"
         if (parent.role == "li" and tag in ("ul", "ol")) or (parent.role == "other" and tag in NOT_INLINE_TAGS):
@@ -139,8 +141,10 @@ class BlockLister(HTMLParser):
         node = _Open(tag, self._role(tag, parent), parent)
         if tag in NOISE_TAGS:
             node.role, node.muted, node.hidden = "", True, True
-        if tag == "body":
+        if tag == "body":  # a new root: what is around it no longer counts
             self.blocks, self.error = [], None
+            for around in self.stack:
+                around.role = ""
             node.muted, node.rows, node.depth, node.wanted = False, None, 0, node.headline
         if tag == "a":
             node.href = attr.get("href", "").strip()
@@ -150,17 +154,8 @@ class BlockLister(HTMLParser):
             self.titles[tag].append(node.title)
         if node.role:
             self._enter(node, parent, attr)
-        elif not node.muted and node.rows is not None:
-            if tag == "tr":
-                node.rows.append({"head": False, "cells": []})
-            elif tag in ("td", "th") and parent.tag == "tr":
-                row = node.rows[parent.items]
-                row["head"] = row["head"] or tag == "th"
-                node.cell = (row["cells"], len(row["cells"]))
-                row["cells"].append("")
-                node.wanted = True
-        if tag == "tr" and node.rows is not None:
-            node.items = len(node.rows) - 1  # which row the cells belong to
+        elif node.rows is not None and not node.muted:
+            self._enter_table_part(node, parent)
         self.stack.append(node)
         self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
 
@@ -183,10 +178,23 @@ class BlockLister(HTMLParser):
         elif role == "table":
             node.rows = []
             self._new_block("table", rows=node.rows)
+        elif role in HEADING_TAGS:
+            node.wanted = True
+            node.block = self._new_block("heading", level=int(role[1]))
         elif role != "container":
-            level = int(tag_level) if (tag_level := role[1:]).isdigit() else 0
             node.wanted = True
-            node.block = self._new_block("heading" if level else role, level=level)
+            node.block = self._new_block(role)
+
+    def _enter_table_part(self, node: _Open, parent: _Open) -> None:
+        if node.tag == "tr":
+            node.row = {"head": False, "cells": []}
+            node.rows.append(node.row)
+        elif node.tag in ("td", "th") and parent.row is not None:
+            cells = parent.row["cells"]
+            parent.row["head"] = parent.row["head"] or node.tag == "th"
+            node.cell = (cells, len(cells))
+            cells.append("")
+            node.wanted = True
 
     def handle_endtag(self, tag: str) -> None:
         if self.open_tags.get(tag):
@@ -197,7 +205,7 @@ class BlockLister(HTMLParser):
         node = self.stack.pop()
         self.open_tags[node.tag] -= 1
         text = _inline(node.parts) if node.wanted and node.parts else ""
-        if node.role in ("a", "li", "other", "p", "pre", "blockquote") or node.role in HEADING_TAGS:
+        if node.block is not None and node.role not in ("ul", "ol"):
             node.block["text"] = _link(text, node.href) if node.role == "a" else text
         if node.cell:
             node.cell[0][node.cell[1]] = text
