@@ -161,7 +161,7 @@ def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SH
     runs = plan.filter("slots > 0").select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / _RUN))).alias("run")
     )
-    spread = runs.repartition("source_key", "run")
+    spread = runs.repartition(max(1, -(-total // _RUN)), "source_key", "run")
     first = F.col("run") * _RUN
     each = spread.select("*", F.explode(F.sequence(first, F.least(first + _RUN, F.col("slots")) - 1)).alias("slot"))
     inside = F.col("slot") % F.col("blocks")
@@ -206,7 +206,8 @@ def segments(places: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 def taken(parts: DataFrame, drawn: DataFrame) -> DataFrame:
     """Segments that slots take: one row for each segment and slot, words being how many of its words."""
     words = F.least("last", F.col("taken_words")) - F.col("first")
-    return parts.join(drawn, ["source_key", "block"]).withColumn("words", words).filter("words > 0")
+    # Estimates do not see how many slots a source has, and would have them broadcast.
+    return parts.join(drawn.hint("merge"), ["source_key", "block"]).withColumn("words", words).filter("words > 0")
 
 
 def mixed_words(
@@ -232,7 +233,7 @@ def mixed_words(
     by_source = plan.select("source_key", "source_size", "target")
     return (
         places.withColumn("size_key", F.col("size") > 0)
-        .join(sums, ["source_key", "start", "size_key"], "left")
+        .join(sums.hint("merge"), ["source_key", "start", "size_key"], "left")
         .join(F.broadcast(by_source) if _small(by_source) else by_source, "source_key")
         .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )
@@ -273,7 +274,7 @@ def mixed_texts(
     pieces = F.regexp_extract_all("text", F.lit(PIECE), 0)
     parts = F.transform("cuts", lambda c: F.array_join(F.slice(F.col("pieces"), c.offset.cast("int") + 1, c.words.cast("int")), ""))
     joined = (
-        texts.join(cuts, F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("_row")))
+        texts.join(cuts.hint("merge"), F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("_row")))
         .withColumn("pieces", F.when(F.col("words") < F.col("size"), pieces))
         .withColumn("mixed", F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(F.array_join(parts, "")))
     )
