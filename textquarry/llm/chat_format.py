@@ -96,7 +96,7 @@ MAPPINGS: tuple[Mapping, ...] = (
 def schema_fingerprint(record: Column) -> Column:
     """A hash of the nested field paths of a variant. Keys are in order there; types do not count."""
     types = r": (?!OBJECT|ARRAY)[A-Z]+(\(\d+, ?\d+\))?|(?<=ARRAY<)(?!OBJECT|ARRAY)[A-Z]+(\(\d+, ?\d+\))?"
-    return F.xxhash64(F.regexp_replace(F.schema_of_variant(record), types, ""))
+    return F.when(record.isNotNull(), F.xxhash64(F.regexp_replace(F.schema_of_variant(record), types, "")))
 
 
 def fingerprints_of(spark: SparkSession, mappings: Sequence[Mapping] = MAPPINGS) -> dict[int, int]:
