@@ -58,9 +58,9 @@ class DigestIndex:
         new = own.select("digest", "keep_id", F.lit(batch).alias("batch"))
         self._write(new.join(self.rows().hint("merge"), "digest", "left_anti"), "append")
         earlier = self.rows().filter(F.col("batch") != batch).select("digest", F.col("keep_id").alias("_held"), F.lit(True).alias("_old"))
-        settled = own.join(earlier.hint("merge"), "digest", "left").select(
-            "digest", F.when(F.col("_old"), F.col("_held")).otherwise(F.col("keep_id")).alias("keep_id"), "group_size", "_old"
-        )
+        keep = F.when(F.col("_old"), F.col("_held")).otherwise(F.col("keep_id")).alias("keep_id")
+        joined = own.join(earlier.hint("merge"), "digest", "left").select("digest", keep, "group_size", "_old")
+        settled = written_once(joined, "digest-settled")  # the next join is then not bound to the index's buckets
         # With copies of one text in a third of the rows, adaptive execution splits the side of the documents.
         stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.col("_old").isNull()
         return digests.join(settled, "digest").select(
