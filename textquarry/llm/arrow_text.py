@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 #: Bytes hashed at once; longer only for a single longer word.
 BLOCK = 1 << 20
 #: Texts taken from an Arrow batch at once hold about so many bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def separators(more: bytes = b"") -> np.ndarray:

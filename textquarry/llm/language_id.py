@@ -147,7 +147,7 @@ def predictions(texts: pa.Array, known: Profiles) -> tuple[list[str], np.ndarray
     none = np.diff(rows) == 0
     if not known.languages:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    dots = per_row(known.table[numbers].astype(np.float64), rows)
+    dots = per_row(known.table[numbers], rows).astype(np.float64)
     best = dots.argmax(axis=1)
     positive = np.maximum(dots, 0)
     total = positive.sum(axis=1)

@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from textquarry.llm.arrow_text import _UPPER_TO_LOWER, SPACES, hashed, noise, utf8
 
-MAX_UNITS = 2_000_000
+MAX_UNITS = 1_500_000
 DEFAULT_FILE = "word_bpe_49k.json"
 _FRONT = 1 << 21
 _LETTER, _DIGIT, _OTHER = 1, 2, 3
@@ -76,7 +76,7 @@ class UnitTokens:
     def _clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int32)
-        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.starts, self.lengths = np.zeros(1024, np.int32), np.zeros(1024, np.int32)
         self.ids, self.used, self.number = np.zeros(4096, np.uint32), 0, 0
         self.front_key, self.front_at = np.zeros(_FRONT, np.uint64), np.full(_FRONT, -1, np.int32)
 
