@@ -28,7 +28,7 @@ def loader_chunks(spark, doc, contents):
 
 
 def table(spark, tmp_path, dim=4):
-    return ChunkTable(spark, str(tmp_path / "table"), dim, buckets=8)
+    return ChunkTable(spark, str(tmp_path / "table"), dim)
 
 
 def embedded(spark, rows):
@@ -42,7 +42,7 @@ def rows_for(doc, n, dim=4, mark=""):
 
 def test_load_happy_path(spark, tmp_path):
     store = table(spark, tmp_path)
-    batches = E.stored_batches(loader_chunks(spark, "doc", ["文本1", "文本2"]), 4)
+    batches = E.stored_batches(loader_chunks(spark, "doc", ["first leaf", "second leaf"]), 4)
     report = ingest.load_batches(batches, DigestEmbedder(4), store, str(tmp_path / "dead"))
     assert (report.total, report.succeeded, report.failed) == (2, 2, 0)
     assert sorted(r.chunk_id for r in store.read().collect()) == ["doc-0", "doc-1"]
@@ -52,15 +52,15 @@ def test_load_happy_path(spark, tmp_path):
 def test_lost_batch_goes_to_dead_letters(spark, tmp_path):
     store = table(spark, tmp_path)
     store.upsert(embedded(spark, rows_for("doc2", 5)))
-    batches = E.stored_batches(loader_chunks(spark, "doc2", ["fail", "success", "success2"]), 1)
+    batches = E.stored_batches(loader_chunks(spark, "doc2", ["broken", "oak", "elm"]), 1)
     log = str(tmp_path / "log")
-    report = ingest.load_batches(batches, DigestEmbedder(4, "fail"), store, str(tmp_path / "dead"), log)
+    report = ingest.load_batches(batches, DigestEmbedder(4, "broken"), store, str(tmp_path / "dead"), log)
     assert (report.total, report.succeeded, report.failed) == (3, 2, 1)
     letters = spark.read.text(str(tmp_path / "dead"), wholetext=True).collect()
-    assert [r.value for r in letters] == ["# Failure: refused text with 'fail'\n[doc2-0] fail\n\n"]
+    assert [r.value for r in letters] == ["# Failure: refused text with 'broken'\n[doc2-0] broken\n\n"]
     assert letters[0].document_id == "doc2"
     # the old version is gone although one batch was lost
-    assert sorted(r.content for r in store.read().collect()) == ["success", "success2"]
+    assert sorted(r.content for r in store.read().collect()) == ["elm", "oak"]
     kinds = spark.read.json(log).groupBy("kind").count().collect()
     assert {r["kind"]: r["count"] for r in kinds} == {"request": 3, "response": 2, "error": 1}
 
@@ -68,8 +68,8 @@ def test_lost_batch_goes_to_dead_letters(spark, tmp_path):
 def test_all_batches_lost_leaves_table_alone(spark, tmp_path):
     store = table(spark, tmp_path)
     store.upsert(embedded(spark, rows_for("doc", 2)))
-    batches = E.stored_batches(loader_chunks(spark, "doc", ["fail"]), 1)
-    assert ingest.load_batches(batches, DigestEmbedder(4, "fail"), store).succeeded == 0
+    batches = E.stored_batches(loader_chunks(spark, "doc", ["broken"]), 1)
+    assert ingest.load_batches(batches, DigestEmbedder(4, "broken"), store).succeeded == 0
     assert store.read().count() == 2
 
 
@@ -112,6 +112,24 @@ def test_refused_rows_change_nothing(spark, tmp_path, bad):
     assert store.read().count() == 2
 
 
+def test_a_load_that_breaks_anywhere_leaves_all_documents(spark, tmp_path, monkeypatch):
+    store = table(spark, tmp_path)
+    store.upsert(embedded(spark, rows_for("a", 2) + rows_for("b", 1)))
+    before = sorted(map(tuple, store.read().select("chunk_id", "content").collect()))
+    monkeypatch.setattr(ChunkTable, "_commit", lambda self, version: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.upsert(embedded(spark, rows_for("a", 1, mark="?")))
+    assert sorted(map(tuple, store.read().select("chunk_id", "content").collect())) == before
+    monkeypatch.undo()
+    (tmp_path / "table" / "commits" / "000000000009-half").mkdir()
+    store.upsert(embedded(spark, rows_for("a", 1, mark="?")))
+    want = [("a-0", "text 0?"), ("b-0", "text 0")]
+    for _ in range(2):
+        assert sorted(map(tuple, store.read().select("chunk_id", "content").collect())) == want
+        store.compact()
+    assert len(store.versions()) == 1 and len(list((tmp_path / "table" / "rows").iterdir())) == 1
+
+
 def test_sanity_check_finds_damage(spark, tmp_path):
     store = table(spark, tmp_path)
     sent = store.upsert(embedded(spark, rows_for("x", 2)))

@@ -9,7 +9,7 @@ from textquarry.sources import files, jsonl
 from textquarry.sources.chunk_table import ChunkTable
 from textquarry.streaming.inbox import watch_inbox
 
-HTML = "<html><body><h2>简介</h2><p>第一段内容。</p><p>第二段内容。</p></body></html>"
+HTML = "<html><body><h2>Lakes</h2><p>Deep and cold.</p><p>Some are salty.</p></body></html>"
 
 
 def test_names(spark):
@@ -51,14 +51,14 @@ def folder(tmp_path):
 def test_clean_files(spark, folder):
     cleaned = ingest.clean_files(spark, str(folder))
     texts = {r.document_id: r.clean_text for r in cleaned.documents.collect()}
-    assert texts == {"one": "## 简介\n\n第一段内容。\n\n第二段内容。", "two": "## A\nbody"}
+    assert texts == {"one": "## Lakes\n\nDeep and cold.\n\nSome are salty.", "two": "## A\nbody"}
     errors = {r.path.rsplit("/", 1)[1]: r.error for r in cleaned.rejects.collect()}
     assert set(errors) == {"list.htm", "fake.pdf", "sheet.csv"}
     assert errors["sheet.csv"] == "Unsupported file extension: .csv"
 
 
 def test_ingest_folder(spark, folder, tmp_path):
-    table = ChunkTable(spark, str(tmp_path / "table"), 8, buckets=4)
+    table = ChunkTable(spark, str(tmp_path / "table"), 8)
     meta_dir = tmp_path / "meta"
     meta_dir.mkdir()
     (meta_dir / "two.json").write_text('{"title": "Second"}', encoding="utf-8")
@@ -81,7 +81,7 @@ def test_ingest_folder(spark, folder, tmp_path):
 
 
 def test_inbox(spark, folder, tmp_path):
-    table = ChunkTable(spark, str(tmp_path / "table"), 8, buckets=4)
+    table = ChunkTable(spark, str(tmp_path / "table"), 8)
     for _ in range(2):
         watch_inbox(spark, str(folder), table, DigestEmbedder(8), str(tmp_path / "ckpt")).awaitTermination()
     assert {r.document_id for r in table.read().collect()} == {"one", "two"}
@@ -100,7 +100,7 @@ def test_command_line(spark, folder, tmp_path):
     assert run("clean", "--input-file", str(folder / "sheet.csv"), "--output-dir", out) == 2
     assert run("clean", "--input-file", str(folder / "fake.pdf"), "--output-dir", out) == 2
     text = tmp_path / "sample.txt"
-    text.write_text("## 标题\n这是第一段。\n\n这是第二段。", encoding="utf-8")
+    text.write_text("## Rivers\nThey run.\n\nThey bend.", encoding="utf-8")
     chunked = str(tmp_path / "chunks")
     args = ["--document-id", "DOC001", "--title", "示例文档", "--output-dir", chunked, "--disable-llm"]
     assert run("chunk", "--input-file", str(text), *args) == 0
@@ -122,9 +122,9 @@ def test_names_with_other_characters(spark, tmp_path):
     place.mkdir()
     metas.mkdir()
     (place / "产品 a+b.md").write_text("text", encoding="utf-8")
-    (metas / "产品 a+b.json").write_text('{"title": "标题"}', encoding="utf-8")
+    (metas / "产品 a+b.json").write_text('{"title": "Rivers"}', encoding="utf-8")
     (metas / "broken.json").write_text("{", encoding="utf-8")
     meta = files.read_meta(spark, str(metas))
     assert {r.document_id: r.valid for r in meta.collect()} == {"产品 a+b": True, "broken": False}
     docs = files.with_titles(files.read_markdown(spark, str(place)), meta.unionByName(meta))
-    assert [(r.document_id, r.title) for r in docs.collect()] == [("产品 a+b", "标题")]
+    assert [(r.document_id, r.title) for r in docs.collect()] == [("产品 a+b", "Rivers")]

@@ -186,7 +186,7 @@ def k3_dead_letter_texts(spark: SparkSession, folder: str) -> DataFrame:
 def k4_stored_table(spark: SparkSession, folder: str) -> DataFrame:
     """A table in the shared folder after two loads: all documents, then the labelled ones anew."""
     path = f"{shared_folder(spark)}/textquarry-table-{uuid.uuid4().hex}"
-    store = chunk_table.ChunkTable(spark, path, DIMENSION, buckets=16)
+    store = chunk_table.ChunkTable(spark, path, DIMENSION)
     docs = documents(spark, folder)
     labelled = table(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("document_id"))
     for part, size, overlap in ((docs, 300, 50), (docs.join(labelled, "document_id", "left_semi"), 500, 100)):
@@ -444,7 +444,7 @@ def c3_fixed_chunks(spark: SparkSession, folder: str) -> DataFrame:
 def c5_headings(spark: SparkSession, folder: str) -> DataFrame:
     """First heading of the composed texts and of the texts under an indented one."""
     text = F.col("clean_text")
-    indented = F.concat(F.col("title"), F.lit("\n  #### "), F.substring(text, 1, 30))
+    indented = F.concat(F.col("title"), F.lit("\n  #### "), text)
     return headed_documents(spark, folder).select(
         "document_id",
         C.section_heading(text).alias("heading"),

@@ -8,7 +8,7 @@ import sys
 from pathlib import Path
 
 from pyspark.errors import PySparkException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.providers import DigestEmbedder, HttpEmbedder, HttpTitles, ProviderError
@@ -70,17 +70,22 @@ def _one_supported(path: str) -> None:
         raise ValueError(f"Unsupported file extension: {Path(path).suffix or '<none>'}")
 
 
-def _refuse(rejects: list, path: str) -> None:
-    for row in rejects:
+def _refuse(rejects: DataFrame, path: str) -> None:
+    """Name every file that was left out, a partition of them at a time."""
+    number = 0
+    for row in rejects.toLocalIterator():
+        number += 1
         LOG.error("%s: %s", row.path, row.error)
-    if rejects and Path(path).is_file():
-        raise ValueError(rejects[0].error)
+        if Path(path).is_file():
+            raise ValueError(row.error)
+    if number:
+        LOG.error("files left out: %s", number)
 
 
 def run_clean(spark: SparkSession, args: argparse.Namespace) -> None:
     _one_supported(args.input_file)
     cleaned = clean_files(spark, args.input_file)
-    _refuse(cleaned.rejects.take(20), args.input_file)
+    _refuse(cleaned.rejects, args.input_file)
     jsonl.write_clean_texts(cleaned.documents, args.output_dir)
 
 
@@ -96,7 +101,7 @@ def run_chunk(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     _one_supported(args.input_file)
     meta = None
-    if args.meta_file and args.title is None:
+    if args.meta_file and not args.title:
         _must_exist(args.meta_file)
         meta = files.read_meta(spark, args.meta_file)
         if not meta.where(~F.col("valid")).isEmpty():
@@ -125,7 +130,7 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         batch_size=args.loader_batch_size,
     )
     LOG.info("total=%s succeeded=%s failed=%s", report.total, report.succeeded, report.failed)
-    _refuse(rejects.take(20), args.input_file)
+    _refuse(rejects, args.input_file)
 
 
 # Exit codes per step for a missing file, bad input, a failed load, anything else.

@@ -337,7 +337,7 @@ _sql(
     f"""SELECT document_id, CAST(unnest(range(0, len(pieces))) AS INT) AS n, unnest(pieces) AS piece
         FROM (SELECT document_id, {_windows('text')} AS pieces FROM ({_DOCUMENTS}))""",
 )
-_sql("c5_headings", f"SELECT document_id, title AS heading, {_strip('split_part(substring(text, 1, 30), chr(10), 1)')} AS indented_heading FROM ({_HEADED})")
+_sql("c5_headings", f"SELECT document_id, title AS heading, {_strip('split_part(text, chr(10), 1)')} AS indented_heading FROM ({_HEADED})")
 _sql("c6_without_heading", f"SELECT document_id, ltrim(substring(text, strpos(text, chr(10)) + 1), {_WS}) AS body FROM ({_HEADED})")
 _sql("c8_chunks", _CHUNKS)
 _sql("c8_chunks_headed", f"SELECT {_FLAT} FROM ({_HEADED_CHUNKS})")

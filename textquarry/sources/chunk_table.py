@@ -1,25 +1,27 @@
 """The stored table of embedded chunks, replaced document by document.
 
-Parquet partitioned by a hash bucket of the document id. An upsert reads and
-rewrites only the buckets of the incoming documents, as one dynamic partition
-overwrite that is committed after all its tasks have succeeded.
+Nothing stored is ever changed. A load appends a version: first its rows, as a folder of Parquet below `rows`,
+then its document ids below `commits`. With the success mark that Spark's writer puts there last, the version
+counts. Of a document the rows of its newest counting version are the stored ones. So a load writes just its own
+rows, and one that ends anywhere leaves all documents as they were.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.providers import VECTOR_DIMENSION
 from ..schemas import VECTOR_ROW
-from .staging import written_once
+from .staging import delete_path
 
 SAMPLE_ROWS = 3
-_STORED = T.StructType([*VECTOR_ROW.fields, T.StructField("doc_bucket", T.IntegerType())])
+_STORED = T.StructType([*VECTOR_ROW.fields, T.StructField("version", T.StringType())])
+_COMMIT = "document_id string, version string"
 
 
 class TableError(RuntimeError):
@@ -98,53 +100,93 @@ def mismatches(sent: DataFrame, stored: DataFrame) -> None:
 
 @dataclass
 class ChunkTable:
+    """One writer at a time; readers at any time."""
+
     spark: SparkSession
     path: str
     dimension: int = VECTOR_DIMENSION
-    buckets: int = 1024
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64("document_id"), F.lit(self.buckets)).cast("int")
 
-    def _stored(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_STORED).parquet(self.path)
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" not in str(exc):
-                raise
-            return self.spark.createDataFrame([], VECTOR_ROW).withColumn("doc_bucket", self._bucket())
+    def _names(self, part: str) -> list[str]:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
+    def versions(self) -> list[str]:
+        """The versions that count, oldest first; their number is that of loads since the last compaction."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        conf = self.spark._jsc.hadoopConfiguration()
+        marks = {v: path(f"{self.path}/commits/{v}/_SUCCESS") for v in self._names("commits")}
+        return [v for v, mark in marks.items() if mark.getFileSystem(conf).exists(mark)]
+
+    def _new_version(self) -> str:
+        seen = [*self._names("rows"), *self._names("commits")]
+        number = max((int(v.split("-")[0]) for v in seen), default=0) + 1
+        return f"{number:012d}-{uuid.uuid4().hex[:8]}"
+
+    def _rows(self, *versions: str) -> DataFrame:
+        if not versions:
+            return self.spark.createDataFrame([], _STORED)
+        return self.spark.read.schema(_STORED).parquet(*(f"{self.path}/rows/{v}" for v in versions))
+
+    def _superseded(self, versions: list[str]) -> DataFrame:
+        """Documents and versions of theirs that newer ones have replaced: as many as there were replacements."""
+        commits = self.spark.read.schema(_COMMIT).parquet(*(f"{self.path}/commits/{v}" for v in versions))
+        every = commits.groupBy("document_id").agg(F.array_sort(F.collect_set("version")).alias("all"))
+        old = every.where(F.size("all") > 1).select("document_id", F.explode(F.expr("slice(all, 1, size(all) - 1)")).alias("version"))
+        return old
 
     def read(self) -> DataFrame:
-        return self._stored().drop("doc_bucket")
+        versions = self.versions()
+        rows = self._rows(*versions)
+        if len(versions) > 1:
+            rows = rows.join(self._superseded(versions), ["document_id", "version"], "left_anti")
+        return rows.select(*VECTOR_ROW.names)
 
-    def _of(self, rows: DataFrame) -> DataFrame:
-        """Stored rows in the buckets that `rows` touch; at most `buckets` numbers reach the driver."""
-        touched = [r[0] for r in rows.select(self._bucket().alias("b")).distinct().collect()]
-        return self._stored().where(F.col("doc_bucket").isin(touched))
+    def _commit(self, version: str) -> None:
+        documents = self._rows(version).select("document_id", "version").distinct()
+        documents.write.mode("overwrite").parquet(f"{self.path}/commits/{version}")
 
     def upsert(self, embedded: DataFrame) -> DataFrame:
-        """Replace the documents of `embedded`; nothing is written if any row is refused."""
-        incoming = checked(written_once(to_vector_rows(embedded), "incoming"), self.dimension)
-        old = self._of(incoming)
-        new = replaced(old, incoming.withColumn("doc_bucket", self._bucket()))
-        (
-            new.hint("rebalance", "doc_bucket")
-            .write.partitionBy("doc_bucket")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(self.path)
-        )
+        """Replace the documents of `embedded`; nothing counts if any row is refused. Returns the stored rows."""
+        version = self._new_version()
+        rows = to_vector_rows(embedded).withColumn("version", F.lit(version))
+        rows.write.parquet(f"{self.path}/rows/{version}")
+        incoming = self._rows(version)
+        try:
+            checked(incoming, self.dimension)
+        except TableError:
+            delete_path(self.spark, f"{self.path}/rows/{version}")
+            raise
+        self._commit(version)
         return incoming
 
+    def compact(self) -> None:
+        """Write all stored rows as one version and delete the others. It may end anywhere and be run again."""
+        old = self.versions()
+        if len(old) > 1:
+            version = self._new_version()
+            self.read().withColumn("version", F.lit(version)).write.parquet(f"{self.path}/rows/{version}")
+            self._commit(version)
+            for part in ("commits", "rows"):
+                for v in old:
+                    delete_path(self.spark, f"{self.path}/{part}/{v}")
+        counting = set(self.versions())
+        for v in self._names("rows"):  # what interrupted loads have left
+            if v not in counting:
+                delete_path(self.spark, f"{self.path}/rows/{v}")
+
     def counts(self) -> DataFrame:
         return self.read().groupBy("document_id").agg(F.count(F.lit(1)).alias("rows"))
 
     def sample(self, document_id: str) -> DataFrame:
         """A few random rows of a document."""
-        bucket = self.spark.range(1).select(F.pmod(F.xxhash64(F.lit(document_id)), F.lit(self.buckets))).first()[0]
-        mine = self._stored().where((F.col("doc_bucket") == bucket) & (F.col("document_id") == document_id))
-        return mine.drop("doc_bucket").orderBy(F.rand()).limit(SAMPLE_ROWS)
+        return self.read().where(F.col("document_id") == document_id).orderBy(F.rand()).limit(SAMPLE_ROWS)
 
     def sanity_check(self, incoming: DataFrame) -> None:
-        """Compare the stored rows of the incoming documents with what was sent, all of them."""
-        mismatches(incoming, integrity(self._of(incoming), self.dimension, "document_id"))
+        """Compare what is stored of the incoming documents with what was sent, all of it.
+
+        incoming: rows that upsert() gave; just their version is read again.
+        """
+        version = incoming.select("version").first()
+        stored = self._rows(version[0]) if version else self._rows()
+        mismatches(incoming, integrity(stored, self.dimension, "document_id"))

@@ -58,7 +58,7 @@ def scan(spark: SparkSession, paths: str | list[str], *kinds: str) -> DataFrame:
         return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in text)
 
     endings = ",".join(any_case(e) for e, k in KINDS.items() if k in kinds)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{{{endings}}}").load(paths)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{{{endings}}}").load(paths)
     return files.where(file_kind(F.col("path")).isin(*kinds)).select(
         "path", document_id(F.col("path")).alias("document_id"), "content"
     )
@@ -66,7 +66,7 @@ def scan(spark: SparkSession, paths: str | list[str], *kinds: str) -> DataFrame:
 
 def rejects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """`(path, error)` of files with a suffix no cleaner takes; contents stay unread."""
-    files = spark.read.format("binaryFile").load(paths).select("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
     return files.where(file_kind(F.col("path")).isNull()).select(
         "path", unsupported(F.col("path")).alias("error")
     )
@@ -106,17 +106,20 @@ def read_html(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_clean_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Files written by the cleaning step, decoded strictly."""
-    files = spark.read.format("binaryFile").load(paths)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    # The cleaning step has a folder `document_id=...` for each document, named with %XX for special signs.
+    named = F.regexp_extract("path", "/document_id=([^/]+)/[^/]+$", 1)
+    own = F.nullif(F.url_decode(F.replace(named, F.lit("+"), F.lit("%2B"))), F.lit(""))
     return files.select(
         "path",
-        document_id(F.col("path")).alias("document_id"),
+        F.coalesce(own, document_id(F.col("path"))).alias("document_id"),
         decode_strict(F.col("content")).alias("clean_text"),
     )
 
 
 def read_meta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """`(document_id, title, valid)` from JSON files named after their documents."""
-    files = spark.read.format("binaryFile").load(paths).withColumn("value", decode_text(F.col("content")))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).withColumn("value", decode_text(F.col("content")))
     return files.select(
         document_id(F.col("path")).alias("document_id"),
         F.get_json_object("value", "$.title").alias("title"),

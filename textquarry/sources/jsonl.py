@@ -26,8 +26,8 @@ def chunk_line(*columns: str) -> Column:
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
-    """One JSON object per line; non-ASCII text stays literal."""
-    chunks.select(*CHUNK.names).write.mode("overwrite").json(path)
+    """Add files with one JSON object per line; what the folder holds already stays. Non-ASCII text stays literal."""
+    chunks.select(*CHUNK.names).write.mode("append").json(path)
 
 
 def write_clean_texts(documents: DataFrame, path: str) -> None:
@@ -44,9 +44,10 @@ def write_clean_texts(documents: DataFrame, path: str) -> None:
 
 def read_written_texts(spark: SparkSession, path: str) -> DataFrame:
     """Clean texts back from `write_clean_texts`."""
-    files = spark.read.option("recursiveFileLookup", "false").text(path, wholetext=True)
+    reader = spark.read.schema("value string, document_id string")  # else 007 would come back as 7
+    files = reader.text(path, wholetext=True)
     return files.select(
-        F.col("document_id").cast("string").alias("document_id"),
+        "document_id",
         F.regexp_replace("value", r"\n\z", "").alias("clean_text"),
     )
 
