@@ -1,4 +1,5 @@
 import json
+import random
 import sys
 
 import pytest
@@ -15,6 +16,7 @@ from textquarry.functions.providers import (
 from textquarry.functions.vectors import format_vector, parse_vector
 from textquarry.operators import embed as E
 from textquarry.plans import ingest
+from textquarry.schemas import FREE_CHUNK
 from textquarry.sources import jsonl
 from textquarry.sources.chunk_table import ChunkTable, TableError
 
@@ -150,6 +152,35 @@ def test_vector_text(spark):
     assert (out[1].t, out[1].back) == ("[]", [])
 
 
+def test_vector_text_of_doubles(spark):
+    rng = random.Random(5)
+    values = [0.987654321, 0.7654321049, 0.123456785, 1e-9, -5e-9, 5e-9, 1.5e-8, 0.999999995, 0.9999999999, -0.0, 2.0**-9, 3 * 2.0**-9]
+    values += [rng.uniform(-2, 2) for _ in range(3000)] + [rng.randrange(10**6) / 2**9 * rng.choice([1, -1]) for _ in range(500)]
+    values += [round(rng.uniform(0, 10), 8) + 5e-9 for _ in range(3000)] + [123456789.123456789, -98765432109.87654321, 4e15 + 0.5]
+    df = spark.createDataFrame([(values,)], "e array<double>")
+    assert df.select(format_vector(F.col("e")).alias("t")).first().t == "[" + ",".join(f"{v:.8f}" for v in values) + "]"
+
+
+def test_free_metadata_and_calls_made(spark, tmp_path):
+    rows = [{"document_id": "d", "chunk_id": f"d-{i}", "content": f"text {i}", "metadata": {"lang": "de", "tags": [i]}} for i in range(20)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "rows.json").write_text("\n".join(map(json.dumps, rows)), encoding="utf-8")
+    store = ChunkTable(spark, str(tmp_path / "table"), 8)
+    assert ingest.load_chunk_files(spark, str(tmp_path / "in"), DigestEmbedder(8), store).succeeded == 20
+    kept = {r.chunk_id: json.loads(r.metadata) for r in store.read().collect()}
+    assert kept["d-7"] == {"lang": "de", "tags": [7]} and len(kept) == 20
+
+    read = jsonl.read_chunks(spark, str(tmp_path / "in"), FREE_CHUNK)
+    for fails_on, kinds in (("text 9", ["response", "error", "response"]), ("text 3", ["error", "response"])):
+        answered = E.embed_batches(E.stored_batches(read), DigestEmbedder(8, fails_on, call_size=8))
+        log = E.call_log(answered, "m", 8, 8).collect()
+        found = sorted((r.call_id, r.kind) for r in log)
+        assert [k for _, k in found if k != "request"] == kinds
+        assert sum(k == "request" for _, k in found) == len(kinds)
+        lost = E.embedded_chunks(answered).where("error is not null")
+        assert lost.count() == 16 and lost.where("embedding is not null").count() == 0
+
+
 def test_jsonl_round_trip(spark, tmp_path):
     docs = spark.createDataFrame([("d", "题", "## 标题\n这是第一段。")], "document_id string, title string, clean_text string")
     from textquarry.operators.chunk import chunk_documents

@@ -22,7 +22,14 @@ R = TypeVar("R")
 
 
 class ProviderError(RuntimeError):
-    """A service call failed for good."""
+    """A service call failed for good; `done` has what earlier calls for the same texts brought."""
+
+    def __init__(self, message: str, done: list[list[float]] | None = None):
+        super().__init__(message)
+        self.done = done or []
+
+    def __reduce__(self) -> tuple:
+        return type(self), (str(self), self.done)
 
 
 class EmbeddingProvider(Protocol):
@@ -95,7 +102,11 @@ class HttpEmbedder:
         vectors: list[list[float]] = []
         for at in range(0, len(texts), self.call_size):
             part = texts[at : at + self.call_size]
-            vectors += with_retries(lambda part=part: self._call(part), self.sleep)
+            try:
+                vectors += with_retries(lambda part=part: self._call(part), self.sleep)
+            except ProviderError as exc:
+                exc.done = vectors
+                raise
         return vectors
 
 
@@ -130,23 +141,25 @@ class DigestEmbedder:
     """Offline stand-in: component `i` is read off the MD5 digest of `"{i}:{text}"`.
 
     The first 24 bits give a value in [-1, 1) that a float holds exactly. Texts
-    that contain `fails_on` make the call fail.
+    that contain `fails_on` make their call of `call_size` texts fail.
     """
 
     dimension: int = 8
     fails_on: str | None = None
+    call_size: int = EMBED_CALL_SIZE
 
     def embed(self, texts: list[str]) -> list[list[float]]:
-        for text in texts:
-            if self.fails_on is not None and self.fails_on in text:
-                raise ProviderError(f"refused text with {self.fails_on!r}")
-        return [
-            [
-                int(hashlib.md5(f"{i}:{text}".encode()).hexdigest()[:6], 16) / 2**23 - 1
-                for i in range(self.dimension)
-            ]
-            for text in texts
-        ]
+        vectors: list[list[float]] = []
+        for at in range(0, len(texts), self.call_size):
+            part = texts[at : at + self.call_size]
+            if self.fails_on is not None and any(self.fails_on in text for text in part):
+                raise ProviderError(f"refused text with {self.fails_on!r}", vectors)
+            vectors += [self._vector(text) for text in part]
+        return vectors
+
+    def _vector(self, text: str) -> list[float]:
+        digests = (hashlib.md5(f"{i}:{text}".encode()).hexdigest() for i in range(self.dimension))
+        return [int(d[:6], 16) / 2**23 - 1 for d in digests]
 
 
 @dataclass

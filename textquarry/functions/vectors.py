@@ -6,23 +6,37 @@ from pyspark.sql import functions as F
 _SCALE = 100_000_000
 
 
+#: Below it a double's whole part is a long.
+_LONG = 9.0e18
+
+
 def _eight_decimals(x: Column) -> Column:
-    # A float has 24 significant bits and 10^8 = 2^8 * 5^8 needs 19 more, so the
-    # product is exact in a double and `rint` is the correct rounding (ties to even).
-    n = F.rint(x.cast("double") * F.lit(float(_SCALE))).cast("bigint")
-    size = F.abs(n)
-    sign = F.when((n < 0) | ((n == 0) & F.startswith(x.cast("string"), F.lit("-"))), "-").otherwise("")
+    """The exact value, rounded to eight decimals, ties to even; beyond longs as Java formats it."""
+    value = x.cast("double")
+    size = F.abs(value)
+    whole = F.floor(size).cast("double")
+    part = size - whole  # exact, as is splitting it into halves of 26 bits and multiplying these by 10^8
+    scaled = part * F.lit(float(_SCALE))
+    wide = part * F.lit(float(2**27 + 1))
+    high = wide - (wide - part)
+    error = (high * F.lit(float(_SCALE)) - scaled) + (part - high) * F.lit(float(_SCALE))
+    # The product's own rounding decides where it seems to lie half-way.
+    below = F.floor(scaled).cast("double")
+    half = scaled - below == 0.5
+    n = F.when(half & (error > 0), below + 1).when(half & (error < 0), below).otherwise(F.rint(scaled)).cast("bigint")
+    carry = F.when(n == _SCALE, 1).otherwise(0)
     exact = F.concat(
-        sign,
-        ((size - size % _SCALE) / _SCALE).cast("bigint").cast("string"),
+        F.when(F.startswith(value.cast("string"), F.lit("-")), "-").otherwise(""),
+        (whole.cast("bigint") + carry).cast("string"),
         F.lit("."),
-        F.lpad((size % _SCALE).cast("string"), 8, "0"),
+        F.lpad((n % _SCALE).cast("string"), 8, "0"),
     )
-    return F.when(F.abs(x) < 8.0e7, exact).otherwise(F.format_string("%.8f", x.cast("double")))
+    return F.when(size < _LONG, exact).otherwise(F.format_string("%.8f", value))
 
 
 def format_vector(embedding: Column) -> Column:
-    values = F.transform(embedding.cast("array<float>"), _eight_decimals)
+    """Text of an array of floats or doubles, each taken as it is."""
+    values = F.transform(embedding, _eight_decimals)
     return F.concat(F.lit("["), F.array_join(values, ","), F.lit("]"))
 
 

@@ -149,6 +149,8 @@ def batch_id_of(chunks: DataFrame, batch_size: int = BATCH_SIZE) -> Column:
     metadata = chunks.schema["metadata"].dataType if "metadata" in chunks.columns else None
     if isinstance(metadata, T.StructType) and "chunk_index" in metadata.names:
         index = F.coalesce("metadata.chunk_index", index)
+    elif isinstance(metadata, T.StringType):
+        index = F.coalesce(F.get_json_object("metadata", "$.chunk_index").try_cast("int"), index)
     alone = -1 - F.pmod(F.xxhash64("chunk_id"), F.lit(2**31 - 1))
     return F.coalesce(F.floor(index / batch_size), alone).cast("int")
 
@@ -189,7 +191,7 @@ def _provider_vectors(provider: EmbeddingProvider) -> Callable[[Column], Column]
                 raise ProviderError(f"expected {len(texts)} embeddings, got {len(vectors)}")
             return {"vectors": vectors, "error": None}
         except ProviderError as exc:
-            return {"vectors": None, "error": str(exc)}
+            return {"vectors": exc.done, "error": str(exc)}
 
     def embed(batches: pa.Array) -> pa.Array:
         return pa.array([answer(b) for b in batches.to_pylist()], type=_ARROW_ANSWER)
@@ -210,7 +212,7 @@ def dealt_out(batches: DataFrame, calls_at_once: int | None = None) -> DataFrame
 def embed_batches(
     batches: DataFrame, provider: EmbeddingProvider, calls_at_once: int | None = None
 ) -> DataFrame:
-    """Add `answer`, the vectors of a batch in order or the error that lost it."""
+    """Add `answer`, the vectors of a batch in order; with the error that lost it, those of the calls before."""
     texts = F.transform("chunks", lambda c: c["content"])
     return dealt_out(batches, calls_at_once).withColumn("answer", _provider_vectors(provider)(texts))
 
@@ -223,7 +225,7 @@ def embedded_chunks(answered: DataFrame) -> DataFrame:
             c["chunk_id"].alias("chunk_id"),
             c["content"].alias("content"),
             c["metadata"].alias("metadata"),
-            F.get("answer.vectors", i).alias("embedding"),
+            F.when(F.col("answer.error").isNull(), F.get("answer.vectors", i)).alias("embedding"),
         ),
     )
     return answered.select(
@@ -268,12 +270,16 @@ def load_counts(embedded: DataFrame, *keys: str) -> DataFrame:
 def call_log(answered: DataFrame, model: str, dimension: int, call_size: int) -> DataFrame:
     """Request and response records of the embedding calls, with unique ids.
 
-    A batch is sent in calls of `call_size` texts; a lost batch has one error record.
+    A batch is sent in calls of `call_size` texts; the first that fails has the error, and none is made after it.
     """
     texts = F.transform("chunks", lambda c: c["content"])
     calls = answered.select(
         "document_id", "batch_id", F.posexplode(slices(texts, call_size)).alias("call_no", "input"), "answer"
     ).withColumn("call_id", F.concat_ws("-", "document_id", "batch_id", "call_no"))
+    answers = F.col("call_no") * call_size < F.size("answer.vectors")
+    is_ok = F.col("answer.error").isNull() | answers
+    last = F.floor(F.size("answer.vectors") / call_size)
+    calls = calls.where(is_ok | (F.col("call_no") == last))
     request = F.struct(
         F.lit(model).alias("model"),
         "input",
@@ -284,7 +290,6 @@ def call_log(answered: DataFrame, model: str, dimension: int, call_size: int) ->
     data = F.transform(vectors, lambda v, i: F.struct(v.alias("embedding"), i.alias("index")))
     ok = F.to_json(F.struct(F.struct(data.alias("data")).alias("response")))
     failed = F.to_json(F.struct(F.col("answer.error").alias("error")))
-    is_ok = F.col("answer.error").isNull()
     records = F.array(
         F.struct(F.lit("request").alias("kind"), F.to_json(F.struct(request.alias("payload"))).alias("body")),
         F.struct(

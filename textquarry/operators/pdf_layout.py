@@ -267,8 +267,11 @@ def laid_out_lines(words: DataFrame) -> DataFrame:
 
 
 def with_page_fallback(page_text: DataFrame, pages: DataFrame) -> DataFrame:
-    """Pages without any word left take their plain text, `pages.fallback_text`."""
-    return pages.join(page_text, PAGE, "left").select(
+    """Pages without any word left take their plain text, `pages.fallback_text`.
+
+    Page texts lie by page already; estimates of their size are too low to broadcast them on.
+    """
+    return pages.join(page_text.hint("merge"), PAGE, "left").select(
         *PAGE, F.coalesce("page_text", strip(F.col("fallback_text")), F.lit("")).alias("page_text")
     )
 

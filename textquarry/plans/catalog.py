@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 
 # Part of some texts of the given tables; batches with it stand for failed calls.
 FAILS_ON = "tion the"
+ENDINGS = (".pdf", ".htm", ".HTML", ".md", ".Markdown", ".csv", "", ".", ".tar.gz", ".PDF")
 DIMENSION = 4
 
 
@@ -239,6 +240,29 @@ def x1_dispatch(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def composed_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """A path per page, with supported and other suffixes in turn."""
+    ending = F.element_at(F.array(*(F.lit(e) for e in ENDINGS)), (F.col("page_id") % len(ENDINGS) + 1).cast("int"))
+    return table(spark, folder, "pages").select("page_id", F.concat("url", F.lit("/x"), "page_id", ending).alias("path"))
+
+
+@query
+def x1_composed_paths(spark: SparkSession, folder: str) -> DataFrame:
+    path = F.col("path")
+    return composed_paths(spark, folder).select(
+        "page_id", files.suffix(path).alias("suffix"), files.file_kind(path).alias("kind"), files.stem(path).alias("stem")
+    )
+
+
+@query
+def x3_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Every path that no cleaner takes."""
+    path = F.col("path")
+    return composed_paths(spark, folder).where(files.file_kind(path).isNull()).select(
+        "path", files.unsupported(path).alias("error")
+    )
+
+
 @query
 def x2_document_id(spark: SparkSession, folder: str) -> DataFrame:
     path = F.concat("url", F.lit("/"), "page_id", F.lit(".tar.html"))
@@ -532,7 +556,7 @@ def e2_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 def e4_embedding_responses(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors as responses of eight, parsed back; a group holds eight rows at most."""
     vectors = table(spark, folder, "embeddings").select(
-        F.floor(F.col("vec_id") / 8).alias("call_no"), "vec_id", "embedding"
+        F.floor(F.col("vec_id") / 8).alias("call_no"), "vec_id", F.col("embedding").cast("array<double>").alias("embedding")
     )
     item = F.struct("vec_id", F.struct("embedding", F.lit("embedding").alias("object")).alias("item"))
     bodies = vectors.groupBy("call_no").agg(F.sort_array(F.collect_list(item)).alias("items"))
@@ -566,9 +590,9 @@ def l1_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def l2_paired_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """The first component of each vector next to the text it was made of."""
+    """Each vector next to the text it was made of."""
     rows = E.succeeded(E.embedded_chunks(answered_batches(spark, folder)))
-    return rows.select("chunk_id", F.md5("content").alias("digest"), F.col("embedding")[0].cast("double").alias("first"))
+    return rows.select("chunk_id", F.md5("content").alias("digest"), format_vector(F.col("embedding")).alias("vector"))
 
 
 @query
@@ -616,10 +640,17 @@ def u3_vector_parse(spark: SparkSession, folder: str) -> DataFrame:
     text = F.concat(F.lit(" "), format_vector(F.col("embedding")), F.lit("\n"))
     vector = parse_vector(strip(text))
     return table(spark, folder, "embeddings").select(
-        "vec_id", F.size(vector).alias("dimension"), F.element_at(vector, 1).alias("first"), F.element_at(vector, -1).alias("last")
+        "vec_id", F.size(vector).alias("dimension"), format_vector(vector).alias("vector")
     )
 
 
+@query
+def u3_double_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors with all digits of doubles."""
+    doubles = F.transform("embedding", lambda x: x.cast("double") / 3)
+    return table(spark, folder, "embeddings").select("vec_id", format_vector(doubles).alias("vector"))
+
+
 @query
 def u4_metadata_json(spark: SparkSession, folder: str) -> DataFrame:
     chunks = C.chunk_documents(documents(spark, folder))

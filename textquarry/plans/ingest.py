@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.providers import EmbeddingProvider, TitleProvider
 from ..operators import embed, html, pdf_layout
 from ..operators.chunk import BATCH_SIZE, CHUNK_SIZE, OVERLAP
+from ..schemas import FREE_CHUNK
 from ..sources import files, jsonl, pdf_words
 from ..sources.chunk_table import ChunkTable
 from ..sources.staging import written_once
@@ -36,7 +37,7 @@ def clean_files(spark: SparkSession, paths: str | list[str]) -> Cleaned:
     # Reading a PDF is costly, and its words, plain texts and errors go different ways.
     pdf = written_once(pdf_words.read_pdf_pages(files.scan(spark, paths, "pdf")), "pdf-pages")
     pdf_texts = pdf_layout.clean_pdf_words(pdf_words.words_of(pdf), pdf_words.page_rows(pdf)).select(
-        no_error.alias("path"), F.col("doc_id").alias("document_id"), "clean_text", no_error.alias("error")
+        F.col("doc_id").alias("path"), files.document_id(F.col("doc_id")).alias("document_id"), "clean_text", no_error.alias("error")
     )
     unread = pdf.where(F.col("error").isNotNull()).withColumn("clean_text", no_text)
     unknown = files.rejects(spark, paths).withColumns({"document_id": no_text, "clean_text": no_text})
@@ -117,8 +118,8 @@ def load_chunk_files(
     dead_letter_path: str | None = None,
     batch_size: int = BATCH_SIZE,
 ) -> LoadReport:
-    """Load chunk rows from JSON lines."""
-    batches = embed.stored_batches(jsonl.read_chunks(spark, path), batch_size)
+    """Load chunk rows from JSON lines, with whatever their metadata hold."""
+    batches = embed.stored_batches(jsonl.read_chunks(spark, path, FREE_CHUNK), batch_size)
     return load_batches(batches, embedder, table, dead_letter_path)
 
 

@@ -1,6 +1,6 @@
 """SQL counterparts of the catalog queries, for an independent engine over the same tables."""
 
-from .catalog import DIMENSION, FAILS_ON
+from .catalog import DIMENSION, ENDINGS, FAILS_ON
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -137,8 +137,12 @@ _sql(
         || string_agg('[' || chunk_id || '] ' || content || chr(10), '' ORDER BY chunk_index) || chr(10) AS value
         FROM ({_ANSWERED}) WHERE lost GROUP BY document_id, batch_id""",
 )
-_CALLS = f"""SELECT document_id || '-' || batch_id || '-' || ((chunk_index % 16) // 8) AS call_id, lost, count(*) AS n
-             FROM ({_ANSWERED}) GROUP BY ALL"""
+_CALLS = f"""SELECT document_id || '-' || batch_id || '-' || call_no AS call_id, call_no IS NOT DISTINCT FROM refused AS lost, n
+             FROM (SELECT *, min(CASE WHEN bad THEN call_no END) OVER (PARTITION BY document_id, batch_id) AS refused
+                   FROM (SELECT document_id, batch_id, (chunk_index % 16) // 8 AS call_no, count(*) AS n,
+                                bool_or(contains(content, '{FAILS_ON}')) AS bad
+                         FROM ({_ANSWERED}) GROUP BY ALL))
+             WHERE refused IS NULL OR call_no <= refused"""
 _sql(
     "k5_call_log",
     f"""SELECT call_id, 'request' AS kind, CAST(n AS INT) AS n_items, 'digest' AS model,
@@ -162,6 +166,20 @@ _sql(
         FROM (SELECT *, CASE lower(suffix) WHEN '.pdf' THEN 'pdf' WHEN '.html' THEN 'html' WHEN '.htm' THEN 'html'
               WHEN '.md' THEN 'markdown' WHEN '.markdown' THEN 'markdown' END AS kind FROM ({_NAMED}))""",
 )
+_LISTED = ", ".join(f"'{e}'" for e in ENDINGS)
+_PATHS = f"""SELECT *, CASE WHEN strpos(name, '.') > 1 AND right(name, 1) <> '.' THEN '.' || string_split(name, '.')[-1] ELSE '' END AS suffix
+             FROM (SELECT page_id, 'x' || page_id || [{_LISTED}][page_id % {len(ENDINGS)} + 1] AS name, url || '/' || name AS path FROM pages)"""
+_sql(
+    "x1_composed_paths",
+    f"""SELECT page_id, suffix, left(name, length(name) - length(suffix)) AS stem, CASE WHEN lower(suffix) = '.pdf' THEN 'pdf'
+        WHEN lower(suffix) IN ('.htm', '.html') THEN 'html' WHEN lower(suffix) IN ('.md', '.markdown') THEN 'markdown' END AS kind
+        FROM ({_PATHS})""",
+)
+_sql(
+    "x3_rejects",
+    f"""SELECT path, 'Unsupported file extension: ' || CASE WHEN suffix = '' THEN '<none>' ELSE suffix END AS error FROM ({_PATHS})
+        WHERE lower(suffix) NOT IN ('.pdf', '.htm', '.html', '.md', '.markdown')""",
+)
 _sql(
     "x2_document_id",
     f"""SELECT page_id, left(name, length(name) - length(suffix)) AS stem, page_id || '.tar' AS document_id
@@ -382,7 +400,7 @@ _sql(
 _sql("e5_title_responses", f"SELECT conv_id, turn, {_strip('text')} AS title FROM conversations")
 _sql("l1_loaded_chunks", f"SELECT document_id, chunk_id, content, section, {_VECTOR} AS vector FROM ({_ANSWERED}) WHERE NOT lost")
 _sql("l1_dead_letters", f"SELECT document_id, batch_id, {_ERROR} AS reason, chunk_id, content FROM ({_ANSWERED}) WHERE lost")
-_sql("l2_paired_vectors", f"SELECT chunk_id, md5(content) AS digest, CAST({_component(0)} AS DOUBLE) AS first FROM ({_ANSWERED}) WHERE NOT lost")
+_sql("l2_paired_vectors", f"SELECT chunk_id, md5(content) AS digest, {_VECTOR} AS vector FROM ({_ANSWERED}) WHERE NOT lost")
 _LARGER = _plain_chunks(f"{_DOCUMENTS} WHERE doc_id IN (SELECT doc_id FROM labels)", 500, 100)
 _sql(
     "u1_upsert",
@@ -407,8 +425,12 @@ _sql(
 _sql("u3_vector_text", f"SELECT vec_id, {_EMBEDDING_TEXT} AS vector FROM embeddings")
 _sql(
     "u3_vector_parse",
-    """SELECT vec_id, CAST(len(embedding) AS INT) AS dimension, CAST(printf('%.8f', CAST(embedding[1] AS DOUBLE)) AS DOUBLE) AS first,
-       CAST(printf('%.8f', CAST(embedding[-1] AS DOUBLE)) AS DOUBLE) AS last FROM embeddings""",
+    f"SELECT vec_id, CAST(len(embedding) AS INT) AS dimension, {_EMBEDDING_TEXT} AS vector FROM embeddings",
+)
+_sql(
+    "u3_double_vectors",
+    """SELECT vec_id, '[' || array_to_string(list_transform(embedding, lambda x: printf('%.8f', CAST(x AS DOUBLE) / 3)), ',') || ']'
+       AS vector FROM embeddings""",
 )
 _sql("u4_metadata_json", f"SELECT chunk_id, {_METADATA} AS metadata FROM ({_CHUNKS})")
 _PAGE_CHUNKS = _headed_chunks(_PAGE_BLOCKS.replace("url AS title", "CAST(page_id AS VARCHAR) AS title"))

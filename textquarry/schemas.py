@@ -19,6 +19,9 @@ CHUNK = T.StructType(
     ]
 )
 
+# A chunk from elsewhere: `metadata` is any object, kept as JSON text.
+FREE_CHUNK = T.StructType([*CHUNK.fields[:3], T.StructField("metadata", T.StringType())])
+
 EMBEDDED_CHUNK = T.StructType([*CHUNK.fields, T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
 # Stored form of a chunk; `metadata` is JSON text.

@@ -29,13 +29,14 @@ class TableError(RuntimeError):
 
 
 def to_vector_rows(embedded: DataFrame) -> DataFrame:
-    """Embedded chunks in stored form, metadata as JSON text."""
+    """Embedded chunks in stored form, metadata as JSON text, which they may be already."""
+    is_text = isinstance(embedded.schema["metadata"].dataType, T.StringType)
     return embedded.select(
         "chunk_id",
         "document_id",
         "content",
         F.col("embedding").cast("array<float>").alias("embedding"),
-        F.to_json("metadata").alias("metadata"),
+        F.col("metadata") if is_text else F.to_json("metadata").alias("metadata"),
         F.current_timestamp().alias("last_modified"),
     )
 

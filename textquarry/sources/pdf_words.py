@@ -75,9 +75,9 @@ def read_pdf_pages(files: DataFrame, opener: Callable = open_pdf) -> DataFrame:
 
 
 def words_of(pages: DataFrame) -> DataFrame:
-    """Pages to word rows for the layout operators."""
+    """Pages to word rows for the layout operators, under the path: two files may have one document id."""
     return pages.where(F.col("page_no").isNotNull()).select(
-        F.col("document_id").alias("doc_id"),
+        F.col("path").alias("doc_id"),
         "page_no",
         "page_width",
         "page_height",
@@ -87,5 +87,5 @@ def words_of(pages: DataFrame) -> DataFrame:
 
 def page_rows(pages: DataFrame) -> DataFrame:
     return pages.where(F.col("page_no").isNotNull()).select(
-        F.col("document_id").alias("doc_id"), "page_no", "fallback_text"
+        F.col("path").alias("doc_id"), "page_no", "fallback_text"
     )
