@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from textquarry.functions.providers import DigestEmbedder
 from textquarry.plans import cli, ingest
-from textquarry.sources import files, jsonl
-from textquarry.sources.chunk_table import ChunkTable
+from textquarry.sources import files, jsonl, staging
+from textquarry.sources.chunk_table import ChunkTable, TableError
 from textquarry.streaming.inbox import watch_inbox
 
 HTML = "<html><body><h2>Lakes</h2><p>Deep and cold.</p><p>Some are salty.</p></body></html>"
@@ -80,6 +80,18 @@ def test_ingest_folder(spark, folder, tmp_path):
     assert again.succeeded == 2 and table.read().count() == 2
 
 
+def test_nothing_staged_is_left(spark, folder, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(shared))
+    table = ChunkTable(spark, str(tmp_path / "table"), 8)
+    _, rejects = ingest.ingest_files(spark, str(folder), DigestEmbedder(8), table, chunks_path=str(tmp_path / "chunks"))
+    assert [p.name.split("-")[1] for p in shared.iterdir()] == ["rejects"] and rejects.count() == 3
+    with pytest.raises(TableError):
+        ingest.ingest_files(spark, str(folder), DigestEmbedder(4), table)
+    assert {p.name.split("-")[1] for p in shared.iterdir()} == {"rejects"}
+    assert table.read().count() == 2
+
+
 def test_inbox(spark, folder, tmp_path):
     table = ChunkTable(spark, str(tmp_path / "table"), 8)
     for _ in range(2):

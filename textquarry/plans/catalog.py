@@ -23,6 +23,7 @@ from ..operators import pdf_layout as P
 from ..sources import chunk_table, files, jsonl
 from ..sources.files import spread
 from ..sources.staging import shared_folder
+from .ingest import chunk_batches, load_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -172,6 +173,15 @@ def s9_random_sample(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def k1_clean_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts written as the cleaning step does and read as the chunking step does, under ids of digits with leading zeros."""
+    path = f"{shared_folder(spark)}/textquarry-texts-{uuid.uuid4().hex}"
+    docs = table(spark, folder, "documents").select(F.lpad("doc_id", 12, "0").alias("document_id"), F.col("text").alias("clean_text"))
+    jsonl.write_clean_texts(docs, path)
+    return files.read_clean_texts(spark, f"{path}/*/*.txt").select("document_id", strip(F.col("clean_text")).alias("clean_text"))
+
+
 @query
 def k2_jsonl_lines(spark: SparkSession, folder: str) -> DataFrame:
     return C.chunk_documents(documents(spark, folder)).select(jsonl.chunk_line().alias("line"))
@@ -659,12 +669,12 @@ def u4_metadata_json(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def i1_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages to stored rows: cleaned, chunked, embedded, lost batches left out."""
+    """Pages to a table in the shared folder: cleaned, chunked, embedded, loaded and checked, lost batches left out."""
+    path = f"{shared_folder(spark)}/textquarry-ingest-{uuid.uuid4().hex}"
+    store = chunk_table.ChunkTable(spark, path, DIMENSION)
     pages = H.clean_html(spread(table(spark, folder, "pages")))
     found = pages.where(F.col("error").isNull()).select(F.col("page_id").cast("string").alias("document_id"), "clean_text")
-    batches = E.with_sections(E.document_batches(files.with_titles(found)))
-    answered = E.embed_batches(batches, DigestEmbedder(DIMENSION, FAILS_ON))
-    rows = chunk_table.to_vector_rows(E.succeeded(E.embedded_chunks(answered)))
-    return rows.select(
+    load_batches(chunk_batches(files.with_titles(found)), DigestEmbedder(DIMENSION, FAILS_ON), store)
+    return store.read().select(
         "chunk_id", "document_id", "content", format_vector(F.col("embedding")).alias("vector"), "metadata"
     )

@@ -15,6 +15,7 @@ from ..functions.providers import DigestEmbedder, HttpEmbedder, HttpTitles, Prov
 from ..operators.embed import batches_to_chunks
 from ..sources import files, jsonl
 from ..sources.chunk_table import ChunkTable, TableError
+from ..sources.staging import staged
 from .ingest import chunk_batches, clean_files, ingest_files
 
 LOG = logging.getLogger("textquarry")
@@ -84,9 +85,10 @@ def _refuse(rejects: DataFrame, path: str) -> None:
 
 def run_clean(spark: SparkSession, args: argparse.Namespace) -> None:
     _one_supported(args.input_file)
-    cleaned = clean_files(spark, args.input_file)
-    _refuse(cleaned.rejects, args.input_file)
-    jsonl.write_clean_texts(cleaned.documents, args.output_dir)
+    with staged(spark) as copies:
+        cleaned = clean_files(spark, args.input_file, copies.written_once)
+        _refuse(cleaned.rejects, args.input_file)
+        jsonl.write_clean_texts(cleaned.documents, args.output_dir)
 
 
 def run_chunk(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -94,8 +96,9 @@ def run_chunk(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.document_id:
         texts = texts.withColumn("document_id", F.lit(args.document_id))
     documents = files.with_titles(texts, title=args.title)
-    batches = chunk_batches(documents, _titles(args), log_path=args.log_dir)
-    jsonl.write_chunks(batches_to_chunks(batches), args.output_dir)
+    with staged(spark) as copies:
+        batches = chunk_batches(documents, _titles(args), log_path=args.log_dir, keep=copies.written_once)
+        jsonl.write_chunks(batches_to_chunks(batches), args.output_dir)
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:

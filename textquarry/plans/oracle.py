@@ -103,6 +103,7 @@ _sql(
         CASE WHEN lang = 'en' THEN {_strip('text')} ELSE lang END AS page_text FROM documents""",
 )
 _sql("s5_strict_text", "SELECT doc_id, text AS clean_text FROM documents")
+_sql("k1_clean_texts", f"SELECT lpad(CAST(doc_id AS VARCHAR), 12, '0') AS document_id, {_strip('text')} AS clean_text FROM documents")
 _sql("s6_jsonl_round_trip", _CHUNKS)
 _sql("k2_chunk_files", _CHUNKS)
 _sql(
