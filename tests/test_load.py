@@ -335,3 +335,17 @@ def test_one_long_document_spreads_over_tasks(spark):
     rows = E.succeeded(E.embedded_chunks(answered)).collect()
     numbers = sorted(r.metadata.chunk_index for r in rows)
     assert numbers == list(range(len(rows))) and len(rows) == sum(sizes)
+
+
+def test_title_request_parameters():
+    sent = []
+
+    def post(url, key, timeout, payload):
+        sent.append(payload)
+        return {"choices": [{"message": {"content": " Lakes\n"}}]}
+
+    titles = HttpTitles("http://titles", "m", parameters={"temperature": 0.2, "max_tokens": 16}, post=post)
+    assert titles.title("Deep and cold.") == "Lakes"
+    assert (sent[0]["temperature"], sent[0]["max_tokens"], sent[0]["model"]) == (0.2, 16, "m")
+    HttpTitles("http://titles", "m", post=post).title("x")
+    assert "temperature" not in sent[1]

@@ -8,7 +8,7 @@ import os
 import time
 import urllib.request
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Protocol, TypeVar
 
 # Fixed values.
@@ -112,13 +112,17 @@ class HttpEmbedder:
 
 @dataclass
 class HttpTitles:
-    """A chat endpoint that names a chunk in a few words."""
+    """A chat endpoint that names a chunk in a few words.
+
+    parameters: further fields of the request, such as temperature or a token limit.
+    """
 
     url: str
     model: str
     prompt: str = "Name the topic of the following text in at most ten characters. Answer with the name only.\n"
     key_variable: str = "EMBEDDING_API_KEY"
     timeout: float = TIMEOUT_SECONDS
+    parameters: dict = field(default_factory=dict)
     post: Callable[[str, str, float, dict], dict] = _post
     sleep: Callable[[float], None] = time.sleep
 
@@ -127,6 +131,7 @@ class HttpTitles:
             "model": self.model,
             "messages": [{"role": "user", "content": self.prompt + text}],
             "stream": False,
+            **self.parameters,
         }
 
         def call() -> str:
