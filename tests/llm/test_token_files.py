@@ -5,10 +5,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from textquarry.llm import token_files as tf
-from textquarry.llm.pieces import unit_tokens
+from textquarry.llm.pieces import UnitTokens, unit_tokens
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +65,19 @@ def test_frequent_ids_have_low_ranks(documents):
     ids = tf.frequency_ranks(documents)
     counts = {r["id"]: r["n"] for r in tf.id_counts(documents).collect()}
     assert sorted(counts, key=lambda i: (-counts[i], i)) == ids.tolist()
+
+
+def test_whole_units_keep_their_case(tokenizer):
+    texts = ["<|EndOfText|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|> a", "<|startoftext|> a"]
+    for listed in (texts, texts[::-1]):
+        tokens = UnitTokens(public_tokenizers.path("word_bpe_49k.json"))
+        ids, rows = tokens.encode(pa.array(listed))
+        for i, text in enumerate(listed):
+            assert ids[rows[i] : rows[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_an_id_that_was_not_counted_is_an_error(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    ids = tf.frequency_ranks(docs.withColumn("text", F.lit("a b")))
+    with pytest.raises(Exception, match="did not count"):
+        tf._blocks(docs, ids, None, tf.END_ID).collect()

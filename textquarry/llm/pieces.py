@@ -4,7 +4,7 @@ The tokenizer drops white space and never joins across it; between white space i
 digits and runs of other signs. Units are those parts of a word that has just ASCII and the letters of Latin-1; any
 other word, and one with an apostrophe, a `<` or a control character, is a unit as a whole and encoded by the library's full
 pipeline. Units go to the library's model, so all ids are its own. They are found and looked up by 64-bit hash in
-numpy arrays; the table of units is emptied at MAX_UNITS, which bounds its memory.
+numpy arrays, A to Z as a to z in units for the model alone and as they are in whole ones; the table of units is emptied at MAX_UNITS, which bounds its memory.
 """
 
 from __future__ import annotations
@@ -106,8 +106,10 @@ class UnitTokens:
 
     def _find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.ndarray) -> np.ndarray:
         """For each unit its number in the table."""
-        letters = noise(256, 2)[_UPPER_TO_LOWER]
-        keys = hashed(data, starts, ends, letters) ^ whole.astype(np.uint64)
+        letters = noise(256, 2)
+        keys = hashed(data, starts, ends, letters[_UPPER_TO_LOWER])
+        if whole.any():  # added tokens are matched by case
+            keys[whole] = hashed(data, starts[whole], ends[whole], letters) ^ np.uint64(1)
         slot = (keys & np.uint64(_FRONT - 1)).astype(np.int64)
         at = np.where(self.front_key[slot] == keys, self.front_at[slot], -1)
         missed = np.flatnonzero(at < 0)

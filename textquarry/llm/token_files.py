@@ -32,6 +32,8 @@ from textquarry.sources.staging import staging_path
 
 END_ID = 1
 BLOCK_IDS = 1 << 16
+#: Of ids that were not counted.
+_NO_RANK = 0xFFFFFFFF
 BLOCKS = "part int, block int, doc_ids array<bigint>, lengths array<bigint>, control binary, data binary"
 
 
@@ -88,7 +90,7 @@ def _blocks(docs: DataFrame, ids: np.ndarray, tokenizer_file: str | None, end_id
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, by_rank = unit_tokens(tokenizer_file), held.value
-        rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, np.uint32)
+        rank_of = np.full(max(tokens.size, end_id + 1), _NO_RANK, np.uint32)
         rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
         part, number = 0, 0
         doc_ids: list[int | None] = []
@@ -114,6 +116,8 @@ def _blocks(docs: DataFrame, ids: np.ndarray, tokenizer_file: str | None, end_id
             inside = np.ones(len(ranks), bool)
             inside[ends - 1] = False
             ranks[inside] = rank_of[ids]
+            if (ranks == _NO_RANK).any():
+                raise ValueError("an id was encoded that the counting pass did not count")
             names = batch.column("doc_id").to_pylist()
             i, before = 0, 0
             while i < len(names):
