@@ -82,3 +82,20 @@ def test_unknown_layouts_are_given_back(spark):
     assert sorted((r["record"] or "", r["fingerprint"] is None) for r in cf.unmapped(df).collect()) == sorted(
         ((records[0], False), ("no json", True), ("", True), (records[3], False))
     )
+
+
+def test_rows_are_mapped_without_a_limit_of_length(spark):
+    df = spark.createDataFrame([r for r in TURNS if r[0] != 4], cf.TURNS).select("conv_id", "role", "text", "turn")
+    long = spark.range(1).selectExpr("4L AS conv_id", "'assistant' AS role", "repeat('long ', 4200000) AS text", "0L AS turn")
+    none = spark.createDataFrame([], "record string")
+    got = digests(cf.formatted_conversations(none, rows=df.union(long)))
+    assert got == slow([*(r for r in TURNS if r[0] != 4), (4, 0, "assistant", "long " * 4_200_000)])
+    with pytest.raises(ValueError, match="no mapping"):
+        cf.typed_turns(df.withColumnRenamed("text", "words"))
+
+
+def test_records_that_no_mapping_knows_are_an_error(spark):
+    for record in ("no json", '{"x": 1}', json.dumps({"conv_id": 1, "role": "user", "text": "x" * 20_000_001, "turn": 0})):
+        df = spark.createDataFrame([(record,)], "record string")
+        with pytest.raises(Exception, match="no mapping knows"):
+            cf.formatted_conversations(df).collect()

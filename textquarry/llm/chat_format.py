@@ -2,7 +2,9 @@
 
 A record is a JSON string. Its schema, the nested field paths with all types left out, is hashed; the fingerprint selects a
 declarative mapping, which names the paths of the turns, their roles and texts. All of it is column expressions on
-variant values; records that no mapping knows are given back with their fingerprint.
+variant values; records that no mapping knows are given back with their fingerprint, and `formatted_conversations` fails on them.
+The variant parser knows no string of over 20,000,000 characters; rows with a column per field are mapped by their names and
+not parsed, so their texts may be as long as a cell.
 
 A turn is written as `[INST]role[/INST]text</s>`. Control strings in roles and texts are broken by a backslash after
 their first character, and backslashes are doubled, so the format is reversible and no text can end a turn.
@@ -120,10 +122,7 @@ def _turns_of(record: Column, m: Mapping) -> Column:
     """An array of (turn, role, text)."""
 
     def role(value: Column) -> Column:
-        name = _string(value, m.role)
-        for other, canonical in m.roles.items():
-            name = F.when(name == other, canonical).otherwise(name)
-        return name
+        return _renamed(_string(value, m.role), m)
 
     def one(turn: Column, role_: Column, text: Column) -> Column:
         return F.struct(turn.cast("long").alias("turn"), role_.alias("role"), text.alias("text"))
@@ -151,14 +150,49 @@ def _mapped(records: DataFrame, mappings: Sequence[Mapping]) -> DataFrame:
     return typed.withColumn("mapping", at)
 
 
-def canonical_turns(records: DataFrame, mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
-    """conv_id, turn, role and text of all records (column record, JSON strings) that a mapping knows."""
+def _renamed(name: Column, m: Mapping) -> Column:
+    out = name
+    for other, canonical in m.roles.items():
+        out = F.when(name == other, canonical).otherwise(out)
+    return out
+
+
+def typed_turns(rows: DataFrame, mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
+    """conv_id, turn, role and text of rows with a column per field; the column names are the schema that selects the mapping."""
+    spark = rows.sparkSession
+    record = F.parse_json(F.lit(json.dumps(dict.fromkeys(rows.columns, 0))))
+    at = fingerprints_of(spark, mappings).get(spark.range(1).select(schema_fingerprint(record)).first()[0])
+    if at is None or mappings[at].turns or mappings[at].fixed:
+        raise ValueError(f"no mapping of single turns has the columns {', '.join(rows.columns)}")
+    m = mappings[at]
+
+    def column(path: str) -> Column:
+        return F.col(f"`{path.removeprefix('$.')}`")
+
+    def string(path: str) -> Column:
+        return F.coalesce(column(path).cast("string"), F.lit(""))
+
+    turn = column(m.turn) if m.turn else F.lit(0)
+    return rows.select(
+        column(m.conversation).cast("long").alias("conv_id"),
+        turn.cast("long").alias("turn"),
+        _renamed(string(m.role), m).alias("role"),
+        string(m.text).alias("text"),
+    )
+
+
+def canonical_turns(records: DataFrame, mappings: Sequence[Mapping] = MAPPINGS, strict: bool = False) -> DataFrame:
+    """conv_id, turn, role and text of all records (column record, JSON strings) that a mapping knows. strict: others are an error."""
     turns, conversation = F.lit(None), F.lit(None)
     for i, m in enumerate(mappings):
         here = F.col("mapping") == i
         turns = F.when(here, _turns_of(F.col("value"), m)).otherwise(turns)
         conversation = F.when(here, F.try_variant_get(F.col("value"), m.conversation, "bigint")).otherwise(conversation)
-    rows = _mapped(records, mappings).filter("mapping IS NOT NULL")
+    rows = _mapped(records, mappings)
+    if strict:
+        said = F.concat(F.lit("no mapping knows the record "), F.coalesce(F.substring("record", 1, 200), F.lit("null")))
+        rows = rows.withColumn("mapping", F.when(F.col("mapping").isNull(), F.raise_error(said)).otherwise(F.col("mapping")))
+    rows = rows.filter("mapping IS NOT NULL")
     return rows.select(conversation.cast("long").alias("conv_id"), F.explode(turns).alias("t")).select(
         "conv_id", F.col("t.turn").alias("turn"), F.col("t.role").alias("role"), F.col("t.text").alias("text")
     )
@@ -267,9 +301,13 @@ def turn_records(turns: DataFrame) -> DataFrame:
     return turns.select(F.to_json(columns, {"ignoreNullFields": "false"}).alias("record"))
 
 
-def formatted_conversations(records: DataFrame, folder: str | None = None) -> DataFrame:
-    """Map, format and write records, to the shared folder unless told otherwise, and read them back."""
+def formatted_conversations(records: DataFrame, folder: str | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Map, format and write records and rows of turns, to the shared folder unless told otherwise, and read them back.
+
+    A record that no mapping knows is an error; `unmapped` lists them all.
+    """
     spark = records.sparkSession
     folder = folder or staging_path(spark, "conversations")
-    write_conversations(canonical_turns(records), folder)
+    turns = canonical_turns(records, strict=True)
+    write_conversations(turns if rows is None else typed_turns(rows).union(turns), folder)
     return conversation_digests(spark, folder)

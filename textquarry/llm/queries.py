@@ -70,9 +70,9 @@ ODD_CONVERSATION = {
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = chat_format.turn_records(_table(spark, sf_dir, "conversations"))
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "role", "text", "turn")
     odd = spark.createDataFrame([(json.dumps(ODD_CONVERSATION),)], "record string")
-    return chat_format.formatted_conversations(records.union(odd))
+    return chat_format.formatted_conversations(odd, rows=rows)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
