@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from textquarry.llm import language_id as li
 
@@ -63,3 +64,20 @@ def test_trigrams_stay_in_their_row():
     numbers, rows = li.trigrams(pa.array(["ab", None, "", "é", "!!", "a b", "AB"]))
     assert np.diff(rows).tolist() == [2, 0, 0, 1, 0, 2, 2]
     assert numbers[:2].tolist() == numbers[-2:].tolist()
+
+
+def test_letters_that_are_no_language_go(spark):
+    rng = random.Random(8)
+    docs = corpus(spark, 600)
+    signs = ["abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"]
+    noise = [(1000 + i, "".join(rng.choice(signs[i % 3]) for _ in range(400)), None, "n", 0) for i in range(30)]
+    mixed = docs.union(spark.createDataFrame(noise, docs.schema))
+    kept = {r["doc_id"] for r in li.with_language(mixed).collect()}
+    assert not kept & {r[0] for r in noise}
+    assert len(kept) >= 0.99 * 600
+
+
+def test_all_stay_when_nothing_could_be_learned(spark):
+    docs = corpus(spark, 20).withColumn("lang", F.lit(None).cast("string"))
+    odd = spark.createDataFrame([(99, "123 !!", None, "a", 0)], docs.schema)
+    assert {r["doc_id"] for r in li.with_language(docs.union(odd)).collect()} == set(range(20))

@@ -13,6 +13,12 @@ Letters are a to z and 21 classes that other letters fall into by code point, in
 a letter in the middle. Whole texts count. Statistics cover all training rows: partial sums by language and trigram, of which
 there are at most 48 ** 3 for a language.
 
+`with_language` rejects by the cosine with the best prototype, the text's norm included (as the norm of its trigrams' counts, which the
+vectors keep in expectation). A short text has a small cosine, so texts are compared with training texts of as many trigrams, by
+powers of two: what is below half the cosine that 99 of 100 of them reach is in no language that was learned (texts of a few repeated
+words have small ones too, and stay). A power with fewer than JUDGED training texts takes the bound of the next smaller one that has as
+many; without any the text stays.
+
 Defined cases: `und`, score 0, if the text is null or has no letters, or if nothing was learned; ties go to the first
 language by code point; empty tables give empty results; rows with one doc_id are each a row; further columns are kept by `identified`.
 """
@@ -28,12 +34,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.llm.arrow_text import noise, per_row, slices
+from textquarry.llm.arrow_text import noise, per_row, row_of, slices
 
 UNDETERMINED = "und"
 DIMENSIONS = 4096
 SYMBOLS = 48
 GRAMS = SYMBOLS**3
+#: Training texts that a bound needs, the part of them that may lie below their quantile, and the bound's part of that.
+JUDGED = 32
+BELOW, PART = 0.01, 0.5
 
 
 @lru_cache(maxsize=1)
@@ -183,8 +192,49 @@ def language_predictions(docs: DataFrame) -> DataFrame:
     return found.select("kept.doc_id", "kept.held_out", "lang_pred", "score")
 
 
+def cosines(texts: pa.Array, known: Profiles, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
+    """The number of trigrams of each text and its cosine with the best prototype, 0 without letters."""
+    numbers, rows = trigrams(texts)
+    different, times = np.unique(row_of(rows) * GRAMS + numbers, return_counts=True)
+    squares = np.bincount(different // GRAMS, times.astype(float) ** 2, len(texts))
+    best = per_row(known.table[numbers], rows).max(axis=1).astype(np.float64)
+    norm = np.sqrt(dimensions * squares)
+    return np.diff(rows), np.where(norm > 0, best / np.where(norm > 0, norm, 1), 0.0)
+
+
+def _measured(docs: DataFrame, known: Profiles) -> DataFrame:
+    """kept, the columns of docs, with grams, cosine and power, the power of two of grams."""
+    held = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            grams, cosine = cosines(batch.column("text"), held.value)
+            columns = [batch.column("kept"), pa.array(grams.astype(np.int64)), pa.array(cosine)]
+            yield pa.RecordBatch.from_arrays(columns, names=["kept", "grams", "cosine"])
+
+    chosen = docs.select("text", F.struct(*docs.columns).alias("kept"))
+    schema = f"kept {chosen.schema['kept'].dataType.simpleString()}, grams bigint, cosine double"
+    power = F.length(F.bin("grams")) - 1
+    return chosen.mapInArrow(run, schema).withColumn("power", power)
+
+
+def bounds(training: DataFrame, known: Profiles) -> dict[int, float]:
+    """For each power of two of trigrams the least cosine of a language, learned from text and lang of all rows."""
+    labelled = training.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+    low = F.percentile_approx("cosine", BELOW).alias("low")
+    found = _measured(labelled, known).filter("grams > 0").groupBy("power").agg(low, F.count(F.lit(1)).alias("n"))
+    return {r["power"]: PART * r["low"] for r in found.collect() if r["n"] >= JUDGED}  # 31 rows at most
+
+
 def with_language(docs: DataFrame) -> DataFrame:
-    """The documents whose language can be told: those with letters, all columns unchanged."""
-    known = profiles(docs.filter(~held_out()))
-    found = identified(docs, known).filter(F.col("lang_pred") != UNDETERMINED)
+    """The documents in a language that was learned, all columns unchanged; those with letters if nothing was learned."""
+    known = profiles(docs)
+    least = F.lit(None).cast("double")
+    if known.languages:
+        for power, bound in sorted(bounds(docs, known).items()):
+            least = F.when(F.col("power") >= power, bound).otherwise(least)
+        found = _measured(docs, known)
+        found = found.filter((F.col("grams") > 0) & (F.col("cosine") >= F.coalesce(least, F.lit(-1.0))))
+    else:
+        found = identified(docs, Profiles(["?"], np.zeros((GRAMS, 1), np.float32))).filter(F.col("lang_pred") != UNDETERMINED)
     return found.select(*(F.col("kept").getField(c).alias(c) for c in docs.columns))
