@@ -16,6 +16,7 @@ from textquarry.llm import (
     mixing,
     quality,
     simhash,
+    suffix_index,
     token_counts,
     token_files,
 )
@@ -75,6 +76,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.formatted_conversations(odd, rows=rows)
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -86,4 +91,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
