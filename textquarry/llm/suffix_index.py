@@ -13,7 +13,8 @@ batch is merged with the newest level, and the result with the next one, as long
 Documents lie in packs of some PACK bytes. A pack sends each entry once, and a head with more than WAYS continuations once in all, so
 a passage that a third of all documents share costs a row of a bucket for each pack, not for each document.
 
-Entries are equal if their heads agree in 48 bits and what follows in 48 more, strings if they agree in 48 bits and their heads in 32.
+Entries are equal if the hashes of their heads agree in 44 bits and those of all their bytes in 40 more, strings if they agree in 44 bits and
+their heads in 32.
 
 Defined cases: null is the empty text; a null doc_id is larger than all others; rows with one doc_id, or without, take nothing from one another,
 and each has its row in the result; texts below LONG bytes stay whole; an empty table gives an empty result; further columns are left out.
@@ -22,6 +23,7 @@ What is kept is given in bytes, since a cut may go through a character.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from functools import reduce
 
@@ -32,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textquarry.llm.arrow_text import hashed, mixed, noise, utf8
+from textquarry.llm.arrow_text import mixed, utf8
 from textquarry.sources.staging import delete_path, staging_path, written_once
 
 LONG = 50
@@ -47,7 +49,9 @@ BUCKET_ENTRIES, ENTRY_BYTES = 1 << 18, 13
 BATCHES = 3
 
 _LAST = np.iinfo(np.int64).max
-_TOKEN = np.uint64((1 << 48) - 1)  # stands for all continuations of a head
+#: Bits of a hash that buckets are made of, and bits that tell continuations apart.
+KEY_BITS, REST_BITS = 44, 40
+_TOKEN = np.uint64((1 << REST_BITS) - 1)  # stands for all continuations of a head
 _PACKS = "g bigint, batch int, ids binary, none binary, ends binary, bytes binary"
 _BLOBS = "bucket int, level int, g bigint, entries binary"
 _FOUND = "kind string, g bigint, bucket int, entries binary"
@@ -94,7 +98,7 @@ def _from_sorted(blob: bytes) -> list[np.ndarray]:
 
 def _pack_batches(call: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _packs(batches, (call << 44) + (TaskContext.get().partitionId() << 22), size)
+        return _packs(batches, (call << 44) + (TaskContext.get().partitionId() << 20), size)
 
     return run
 
@@ -125,21 +129,32 @@ def _least_offsets(data: np.ndarray) -> np.ndarray:
     steps = [1, 2, 4, 8, SPREAD - 16]
     out = []
     many = len(data) - LONG + 1
-    for i in range(0, many, 1 << 18):
-        j = min(many, i + (1 << 18))
+    for i in range(0, many, 1 << 14):  # what a processor holds at once
+        j = min(many, i + (1 << 14))
         here = data[i : j + SPREAD + 6]
         x = np.ndarray((len(here) - 7,), "<u8", here, 0, (1,)) * np.uint64(0x9E3779B97F4A7C15)
         x ^= x >> np.uint64(29)
         x *= np.uint64(0xBF58476D1CE4E5B9)
-        least, offset = (x >> np.uint64(32)).astype(np.uint32), np.zeros(len(x), np.uint8)
+        x &= np.uint64(0xFFFFFFFF00000000)
+        x |= np.arange(len(x), dtype=np.uint64)  # so of equals the leftmost is the least
         for step in steps:
-            one, other = least[:-step], least[step:]
-            offset = np.where(other < one, offset[step:] + np.uint8(step), offset[:-step])
-            least = np.minimum(one, other)
+            x = np.minimum(x[:-step], x[step:])
+        offset = (x.astype(np.uint32) - np.arange(len(x), dtype=np.uint32)).astype(np.uint8)
         out.append(offset[: j - i])
     return np.concatenate(out)
 
 
+def _hashed(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the `size` bytes (8 or more) from each place."""
+    eights = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    out = np.full(len(at), size, np.uint64)
+    for k in [*range(0, size - 8, 8), size - 8]:
+        out ^= eights[at + k]
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(32)
+    return mixed(out)
+
+
 class Entries:
     """The entries of a pack: doc, where their first string starts, how many strings they have, heads and continuations as hashes."""
 
@@ -149,11 +164,9 @@ class Entries:
             self.doc = self.first = self.many = np.zeros(0, np.int64)
             self.head = self.rest = np.zeros(0, np.uint64)
             return
-        starts = np.r_[0, ends[:-1]]
-        edge = np.zeros(len(data) + 1, np.int32)
-        np.add.at(edge, np.maximum(starts, ends - LONG + 1), -1)
-        np.add.at(edge, ends, 1)
-        whole = np.cumsum(edge)[: len(data) - LONG + 1] == 0
+        sizes = np.diff(ends, prepend=0)
+        many = np.maximum(sizes - LONG + 1, 0)
+        whole = np.repeat(np.tile([True, False], len(ends)), np.stack([many, sizes - many], 1).reshape(-1))[: len(data) - LONG + 1]
         offset = _least_offsets(data)
         new = np.ones(len(offset), bool)
         new[1:] = (offset[1:] != offset[:-1] - np.uint8(1)) | ~whole[:-1]
@@ -161,29 +174,39 @@ class Entries:
         goes_on = np.zeros(len(offset), bool)
         goes_on[:-1] = whole[1:] & ~new[1:]
         last = np.flatnonzero(whole & ~goes_on)
-        letters, before = noise(256, 2), offset[first].astype(np.int64)
+        before = offset[first].astype(np.int64)
         self.first, self.many = first, last - first + 1
         self.doc = np.searchsorted(ends, first, "right")
-        self.head = hashed(data, first + before, first + before + HEAD, letters) >> np.uint64(16)
-        place = (before.astype(np.uint64) << np.uint64(8)) + self.many.astype(np.uint64)
-        rest = hashed(data, first, last + LONG, letters) + mixed(place)
-        self.rest = np.minimum(rest >> np.uint64(16), _TOKEN - np.uint64(1))
+        self.head = _hashed(data, first + before, HEAD) >> np.uint64(64 - KEY_BITS)
+        # Its bytes are at most twice LONG, so those at both ends are all.
+        place = mixed((before.astype(np.uint64) << np.uint64(8)) + self.many.astype(np.uint64))
+        rest = mixed(_hashed(data, first, LONG) + place) * np.uint64(3) + _hashed(data, last, LONG)
+        self.rest = np.minimum(mixed(rest) >> np.uint64(64 - REST_BITS), _TOKEN - np.uint64(1))
 
     def strings(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The strings of the chosen entries: the entry, where they start, and their hashes."""
         many = self.many[chosen]
         entry = np.repeat(chosen, many)
         at = self.first[entry] + np.arange(len(entry)) - np.repeat(np.cumsum(many) - many, many)
-        return entry, at, hashed(self.data, at, at + LONG, noise(256, 2)) >> np.uint64(16)
+        return entry, at, _hashed(self.data, at, LONG) >> np.uint64(64 - KEY_BITS)
+
+
+def _order(most: np.ndarray, *less: np.ndarray) -> np.ndarray:
+    """An order by `most`, then by the others as they come; few rows have one value of `most`."""
+    order = np.argsort(most)
+    same = most[order][1:] == most[order][:-1]
+    rows = np.flatnonzero(np.r_[False, same] | np.r_[same, False]) if len(most) else order
+    few = order[rows]
+    order[rows] = few[np.lexsort((*[x[few] for x in reversed(less)], most[few]))]
+    return order
 
 
-def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by the keys, the last counting first, and in it a mark at each first row of equal ones."""
-    order = np.lexsort(keys)
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = reduce(np.logical_or, [k[order][1:] != k[order][:-1] for k in keys])
-    return order, new
+def _new(*keys: np.ndarray) -> np.ndarray:
+    """A mark at each first row of equal ones, in sorted rows."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = reduce(np.logical_or, [k[1:] != k[:-1] for k in keys])
+    return new
 
 
 class _Pack:
@@ -199,7 +222,8 @@ class _Pack:
         self.data = np.frombuffer(row["bytes"], np.uint8)
         e = self.entries = Entries(self.data, self.ends)
         self.doc_id = self.ids[e.doc]
-        order, new = _groups(e.rest, e.head)
+        order = _order(e.head, e.rest)
+        new = _new(e.head[order], e.rest[order])
         number = np.cumsum(new) - 1
         least = np.full(number[-1] + 1 if len(new) else 0, _LAST)
         np.minimum.at(least, number, self.doc_id[order])
@@ -255,9 +279,9 @@ def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _dealt(g: int, buckets: int, keys: np.ndarray, *others: np.ndarray) -> pa.RecordBatch:
-    """An array cut into the buckets of its keys of 48 bits."""
+    """An array cut into the buckets of its keys."""
     keys = keys.astype(np.int64)
-    bucket = ((keys >> 20) * buckets) >> 28
+    bucket = ((keys >> 16) * buckets) >> (KEY_BITS - 16)
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
     used = bucket[cuts[:-1]]
     blobs = [_sorted_blob(*(x[s:t] for x in (keys, *others))) for s, t in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -285,9 +309,9 @@ def _string_batches(buckets: int):
                 if not len(entry):
                     continue
                 ids = pack.doc_id[entry]
-                order = np.lexsort((ids, check, hashes))
+                order = _order(hashes, check, ids)
                 h, c = hashes[order], check[order]
-                once = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])]
+                once = _new(h, c)
                 yield _dealt(pack.g, buckets, h[once], c[once], ids[order][once])
 
     return run
@@ -299,46 +323,47 @@ def _kept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for i in range(batch.num_rows):
             pack = _Pack(batch, i)
             gone, entry, at, hashes, check = pack.compared(batch.column("marks")[i].as_py() or [])
-            edge = np.zeros(len(pack.data) + 1, np.int32)
             e = pack.entries
-            np.add.at(edge, e.first[gone], 1)
-            np.add.at(edge, e.first[gone] + e.many[gone] + LONG - 1, -1)
+            starts, stops = [e.first[gone]], [e.first[gone] + e.many[gone] + LONG - 1]
             if len(entry):
                 ids = pack.doc_id[entry]
-                order, new = _groups(check, hashes)
-                number = np.cumsum(new) - 1
-                least = np.full(number[-1] + 1, _LAST)
-                np.minimum.at(least, number, ids[order])
+                order = _order(hashes, check)
+                new = _new(hashes[order], check[order])
+                least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
                 key = _joint(hashes[order][new], check[order][new])
                 for blob in batch.column("strings")[i].as_py() or []:
                     h, c, m = _from_sorted(blob)
                     np.minimum.at(least, np.searchsorted(key, _joint(h, c)), m)
-                away = at[order][ids[order] > least[number]]
-                np.add.at(edge, away, 1)
-                np.add.at(edge, away + LONG, -1)
-            out = np.cumsum(edge[:-1]) > 0
-            # Removed runs, cut where a document ends.
-            head, tail = out.copy(), out.copy()
-            starts = np.r_[0, pack.ends[:-1]]
-            inner = starts[(starts > 0) & (starts < len(out))]
-            head[1:] &= ~out[:-1]
-            head[inner] = out[inner]
-            tail[:-1] &= ~out[1:]
-            tail[inner - 1] = out[inner - 1]
-            a, b = np.flatnonzero(head), np.flatnonzero(tail) + 1
-            doc = np.searchsorted(pack.ends, a, "right")
-            spans = pa.StructArray.from_arrays([pa.array(a - starts[doc]), pa.array(b - starts[doc])], names=["start", "end"])
-            cuts = pa.array(np.searchsorted(doc, np.arange(len(starts) + 1)), pa.int32())
-            kept = [pack.data[s:t][~out[s:t]].tobytes() for s, t in zip(starts, pack.ends, strict=True)]
+                away = at[order][ids[order] > least[np.cumsum(new) - 1]]
+                starts.append(away)
+                stops.append(away + LONG)
+            a, b, doc = _runs(np.concatenate(starts), np.concatenate(stops), pack.ends)
+            origin = np.r_[0, pack.ends[:-1]]
+            spans = pa.StructArray.from_arrays([pa.array(a - origin[doc]), pa.array(b - origin[doc])], names=["start", "end"])
+            cuts = np.searchsorted(doc, np.arange(len(origin) + 1))
+            kept = []
+            for k, (s, t) in enumerate(zip(origin, pack.ends, strict=True)):
+                own = slice(cuts[k], cuts[k + 1])
+                kept.append(b"".join(pack.data[x:y].tobytes() for x, y in zip(np.r_[s, b[own]], np.r_[a[own], t], strict=True)))
             columns = [
                 pa.array(pack.ids, mask=pack.none > 0),
-                pa.array(pack.ends - starts),
-                pa.ListArray.from_arrays(cuts, spans).cast(span),
+                pa.array(pack.ends - origin),
+                pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), spans).cast(span),
                 pa.array(kept, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept"])
 
 
+def _runs(starts: np.ndarray, stops: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of overlapping or touching ranges, and the documents that they are in; no run goes over a document's end."""
+    order = np.argsort(starts)
+    starts, far = starts[order], np.maximum.accumulate(stops[order])
+    doc = np.searchsorted(ends, starts, "right")
+    new = np.ones(len(starts), bool)
+    new[1:] = (starts[1:] > far[:-1]) | (doc[1:] != doc[:-1])
+    return starts[new], far[np.r_[new[1:], True][: len(new)]], doc[new]
+
+
 # One bucket.
 
 
@@ -362,15 +387,19 @@ def _merged(merge: list[int]):
     def run(rows: pa.Table) -> pa.Table:
         parts = []
         for level, g, blob in zip(*(rows.column(n).to_pylist() for n in ("level", "g", "entries")), strict=True):
-            head, rest, least, *more = _from_sorted(blob)
-            own = np.full(len(head), g) if level < 0 else more[0]
-            asked = np.zeros(len(head), np.int64) if level < 0 else more[1]
+            if level < 0:
+                head, rest, least = _from_sorted(blob)
+                own, asked = np.full(len(head), g), np.zeros(len(head), np.int64)
+            else:
+                size = int.from_bytes(blob[:8], "little")
+                (names,) = unpacked(blob[8 : 8 + size])
+                head, rest, least, held = _from_sorted(blob[8 + size :])
+                own, asked = names[held >> 1], held & 1
             parts.append((head, rest, least, own, asked, np.full(len(head), level)))
         head, rest, least, g, asked, level = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((least, rest, head))
+        order = _order(head, rest, least)
         head, rest, least, g, asked, level = (x[order] for x in (head, rest, least, g, asked, level))
-        new_head = np.r_[True, head[1:] != head[:-1]]
-        new = new_head | np.r_[True, rest[1:] != rest[:-1]]
+        new_head, new = _new(head), _new(head, rest)
         by_head, kind = np.cumsum(new_head) - 1, np.cumsum(new) - 1
         token = int(_TOKEN)
         split = np.bincount(by_head[new]) > 1
@@ -389,32 +418,42 @@ def _merged(merge: list[int]):
         keep = np.isin(level, [-1, *merge])
         head, rest, least, g, asked = (x[keep] for x in (head, rest, least, g, np.maximum(asked, splits)))
         if len(head):
-            once = np.r_[True, (head[1:] != head[:-1]) | (rest[1:] != rest[:-1])]
+            head, rest, least, g, asked = (x[_new(head, rest)] for x in (head, rest, least, g, asked))
+            names, number = np.unique(g, return_inverse=True)
             kinds.append("level")
             gs.append(0)
-            blobs.append(_sorted_blob(*(x[once] for x in (head, rest, least, g, asked))))
+            listed = packed(names)
+            blobs.append(len(listed).to_bytes(8, "little") + listed + _sorted_blob(head, rest, least, number * 2 + asked))
         return _table(kinds, gs, int(rows.column("bucket")[0].as_py()), blobs)
 
     return run
 
 
-def _merged_strings(rows: pa.Table) -> pa.Table:
-    """The same for single strings: packs are told the least document of each string that others have too."""
+def _merged_strings(store: bool):
+    """The same for single strings: packs are told the least document of each string that others have too. store: keep all strings."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        return _strings_of_bucket(rows, store)
+
+    return run
+
+
+def _strings_of_bucket(rows: pa.Table, store: bool) -> pa.Table:
     parts = []
     for level, g, blob in zip(*(rows.column(n).to_pylist() for n in ("level", "g", "entries")), strict=True):
         h, c, m = _from_sorted(blob)
         parts.append((h, c, m, np.full(len(h), g), np.full(len(h), level)))
     h, c, m, g, level = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((m, c, h))
+    order = _order(h, c, m)
     h, c, m, g, level = (x[order] for x in (h, c, m, g, level))
-    new = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])]
+    new = _new(h, c)
     kind = np.cumsum(new) - 1
     gs, blobs = [], []
     for pack, blob in _answers(g, [h, c, m[new][kind]], (np.bincount(kind) > 1)[kind] & (level < 0)):
         gs.append(pack)
         blobs.append(blob)
     kinds = ["mark"] * len(gs)
-    if (level < 0).any():
+    if store:
         kinds.append("level")
         gs.append(0)
         blobs.append(_sorted_blob(h[new], c[new], m[new]))
@@ -445,12 +484,17 @@ class SuffixIndex:
         whole = self.spark.read.schema(_FOUND).parquet(path)
         return whole.filter(F.col("kind") == kind).select("g", "bucket", "entries")
 
+    def _free(self) -> None:
+        """Spark deletes the shuffle files of a finished step once the driver's JVM has collected its garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def pack(self, docs: DataFrame) -> DataFrame:
         """Store documents (batch, doc_id, text) in packs."""
         path = self._name("packs")
         docs.select(F.col("batch").cast("int"), F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
             _pack_batches(self.scans, PACK), _PACKS
-        ).write.parquet(path)
+        ).write.option("compression", "zstd").partitionBy("batch").parquet(path)
         self.packs.append((path, False))
         return self.spark.read.schema(_PACKS).parquet(path)
 
@@ -472,6 +516,7 @@ class SuffixIndex:
             delete_path(self.spark, f"{self.levels[i][1]}/kind=level")
         self.levels = [x for i, x in enumerate(self.levels) if i not in merge] + [(size, path)]
         self.marks.append(path)
+        self._free()
 
     def _told(self, paths: list[str], name: str, column: str) -> DataFrame:
         every = [self._read(p, "mark").select("g", "entries") for p in paths]
@@ -495,7 +540,8 @@ class SuffixIndex:
         for i, old in enumerate(self.strings):
             rows = rows.union(self._read(old, "level").select("bucket", F.lit(i).alias("level"), "g", "entries"))
         found = self._name("strings")
-        rows.groupBy("bucket").applyInArrow(_merged_strings, _FOUND).write.partitionBy("kind").parquet(found)
+        rows.groupBy("bucket").applyInArrow(_merged_strings(not last), _FOUND).write.partitionBy("kind").parquet(found)
+        self._free()
         for old in self.strings:
             delete_path(self.spark, old)
         self.strings = [found]
