@@ -25,5 +25,5 @@ def test_query(spark, name):
         answer = db.execute(ORACLE_SQL[name])
         columns = [c[0] for c in answer.description]
         assert digest(frame.columns, got) == digest(columns, answer.fetchall())
-    elif name not in ("op5_decontamination", "op7_token_counts"):
+    elif name not in ("op5_decontamination", "op7_token_counts", "op12_hard_negatives", "op13_lexical_search"):
         assert len(got) == spark.read.parquet(f"{FOLDER}/documents.parquet").count()

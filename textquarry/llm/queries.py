@@ -11,7 +11,9 @@ from textquarry.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     language_id,
+    lexical_search,
     maxent_lm,
     mixing,
     quality,
@@ -80,6 +82,14 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_index.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.best_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -92,4 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_lexical_search": op13_lexical_search,
 }
