@@ -84,13 +84,14 @@ def unpacked(blob: bytes) -> list[np.ndarray]:
 
 
 def _sorted_blob(keys: np.ndarray, *others: np.ndarray) -> bytes:
-    """keys ascend, so only their steps are stored."""
-    return packed(np.diff(keys.astype(np.int64), prepend=0), *others)
+    """keys, one at least, ascend, so the first and the steps are stored."""
+    keys = keys.astype(np.int64)
+    return int(keys[0]).to_bytes(8, "little") + packed(np.diff(keys, prepend=keys[0]), *others)
 
 
 def _from_sorted(blob: bytes) -> list[np.ndarray]:
-    steps, *others = unpacked(blob)
-    return [np.cumsum(steps), *others]
+    steps, *others = unpacked(blob[8:])
+    return [int.from_bytes(blob[:8], "little") + np.cumsum(steps), *others]
 
 
 # Packs of documents.
@@ -511,6 +512,7 @@ class SuffixIndex:
             rows = rows.union(self._read(path, "level").select("bucket", F.lit(i).alias("level"), "g", "entries"))
         path = self._name("level")
         rows.groupBy("bucket").applyInArrow(_merged(merge), _FOUND).write.partitionBy("kind").parquet(path)
+        del rows
         for i in merge:
             # What packs are told stays until it is settled.
             delete_path(self.spark, f"{self.levels[i][1]}/kind=level")
@@ -541,6 +543,7 @@ class SuffixIndex:
             rows = rows.union(self._read(old, "level").select("bucket", F.lit(i).alias("level"), "g", "entries"))
         found = self._name("strings")
         rows.groupBy("bucket").applyInArrow(_merged_strings(not last), _FOUND).write.partitionBy("kind").parquet(found)
+        del rows, asked
         self._free()
         for old in self.strings:
             delete_path(self.spark, old)
