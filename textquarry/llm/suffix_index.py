@@ -2,7 +2,7 @@
 
 A byte goes if it is covered by LONG bytes that also start in a document with a smaller id. Every string of LONG bytes holds one sampled
 suffix (the least hash among its first SPREAD positions, the leftmost of equals), at the same place wherever the string occurs; the strings
-in a row that share a suffix are one entry. So a document has an entry for some 13 bytes instead of a suffix for each.
+in a row that share a suffix are one entry. So a document has an entry for some 15 bytes instead of a suffix for each.
 
 The index holds levels: arrays of entries, sorted by the hash of the suffix's first HEAD bytes (its head), with the hash of all that the
 entry's strings cover and the least document that has it. Levels are dealt over buckets of heads. A new batch gets an array of its own and
@@ -23,7 +23,6 @@ What is kept is given in bytes, since a cut may go through a character.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from functools import reduce
 
@@ -35,16 +34,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrow_text import mixed, utf8
+from textquarry.llm.cleanup import shuffles_freed
 from textquarry.sources.staging import delete_path, staging_path, written_once
 
 LONG = 50
-HEAD = 26
+HEAD = 22
 SPREAD = LONG - HEAD + 1
 PACK = 1 << 21
 #: Continuations of one head that a pack sends one by one.
 WAYS = 4
 #: Entries that a bucket of the index is made for, and the bytes of text that have one.
-BUCKET_ENTRIES, ENTRY_BYTES = 1 << 18, 13
+BUCKET_ENTRIES, ENTRY_BYTES = 1 << 18, 15
 #: Batches in which one table is added.
 BATCHES = 3
 
@@ -485,11 +485,6 @@ class SuffixIndex:
         whole = self.spark.read.schema(_FOUND).parquet(path)
         return whole.filter(F.col("kind") == kind).select("g", "bucket", "entries")
 
-    def _free(self) -> None:
-        """Spark deletes the shuffle files of a finished step once the driver's JVM has collected its garbage."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def pack(self, docs: DataFrame) -> DataFrame:
         """Store documents (batch, doc_id, text) in packs."""
         path = self._name("packs")
@@ -511,14 +506,13 @@ class SuffixIndex:
         for i, (_, path) in enumerate(self.levels):
             rows = rows.union(self._read(path, "level").select("bucket", F.lit(i).alias("level"), "g", "entries"))
         path = self._name("level")
-        rows.groupBy("bucket").applyInArrow(_merged(merge), _FOUND).write.partitionBy("kind").parquet(path)
-        del rows
+        with shuffles_freed(self.spark):
+            rows.groupBy("bucket").applyInArrow(_merged(merge), _FOUND).write.partitionBy("kind").parquet(path)
         for i in merge:
             # What packs are told stays until it is settled.
             delete_path(self.spark, f"{self.levels[i][1]}/kind=level")
         self.levels = [x for i, x in enumerate(self.levels) if i not in merge] + [(size, path)]
         self.marks.append(path)
-        self._free()
 
     def _told(self, paths: list[str], name: str, column: str) -> DataFrame:
         every = [self._read(p, "mark").select("g", "entries") for p in paths]
@@ -534,7 +528,8 @@ class SuffixIndex:
                 delete_path(self.spark, f"{path}/kind=level")
             self.levels = []
         path = self._name("marks")
-        self._told(self.marks, "marks", "marks").write.parquet(path)
+        with shuffles_freed(self.spark):
+            self._told(self.marks, "marks", "marks").write.parquet(path)
         marks = self.spark.read.schema("g bigint, marks array<binary>").parquet(path)
         # Of settled packs only those that are asked for strings are read again.
         asked = [self.spark.read.schema(_PACKS).parquet(p).join(marks, "g", "inner" if done else "left") for p, done in self.packs]
@@ -542,9 +537,8 @@ class SuffixIndex:
         for i, old in enumerate(self.strings):
             rows = rows.union(self._read(old, "level").select("bucket", F.lit(i).alias("level"), "g", "entries"))
         found = self._name("strings")
-        rows.groupBy("bucket").applyInArrow(_merged_strings(not last), _FOUND).write.partitionBy("kind").parquet(found)
-        del rows, asked
-        self._free()
+        with shuffles_freed(self.spark):
+            rows.groupBy("bucket").applyInArrow(_merged_strings(not last), _FOUND).write.partitionBy("kind").parquet(found)
         for old in self.strings:
             delete_path(self.spark, old)
         self.strings = [found]
