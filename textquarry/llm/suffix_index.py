@@ -52,8 +52,8 @@ _LAST = np.iinfo(np.int64).max
 #: Bits of a hash that buckets are made of, and bits that tell continuations apart.
 KEY_BITS, REST_BITS = 44, 40
 _TOKEN = np.uint64((1 << REST_BITS) - 1)  # stands for all continuations of a head
-_PACKS = "g bigint, batch int, ids binary, none binary, ends binary, bytes binary"
-_BLOBS = "bucket int, level int, g bigint, entries binary"
+PACKS = "g bigint, batch int, ids binary, none binary, ends binary, bytes binary"
+BLOBS = "bucket int, level int, g bigint, entries binary"
 _FOUND = "kind string, g bigint, bucket int, entries binary"
 
 
@@ -83,13 +83,13 @@ def unpacked(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _sorted_blob(keys: np.ndarray, *others: np.ndarray) -> bytes:
+def sorted_blob(keys: np.ndarray, *others: np.ndarray) -> bytes:
     """keys, one at least, ascend, so the first and the steps are stored."""
     keys = keys.astype(np.int64)
     return int(keys[0]).to_bytes(8, "little") + packed(np.diff(keys, prepend=keys[0]), *others)
 
 
-def _from_sorted(blob: bytes) -> list[np.ndarray]:
+def from_sorted(blob: bytes) -> list[np.ndarray]:
     steps, *others = unpacked(blob[8:])
     return [int.from_bytes(blob[:8], "little") + np.cumsum(steps), *others]
 
@@ -97,14 +97,14 @@ def _from_sorted(blob: bytes) -> list[np.ndarray]:
 # Packs of documents.
 
 
-def _pack_batches(call: int, size: int):
+def pack_batches(call: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _packs(batches, (call << 44) + (TaskContext.get().partitionId() << 20), size)
+        return text_packs(batches, (call << 44) + (TaskContext.get().partitionId() << 20), size)
 
     return run
 
 
-def _packs(batches: Iterator[pa.RecordBatch], g: int, size: int) -> Iterator[pa.RecordBatch]:
+def text_packs(batches: Iterator[pa.RecordBatch], g: int, size: int) -> Iterator[pa.RecordBatch]:
     """g: the first number of a pack."""
     for batch in batches:
         numbers = batch.column("batch").to_numpy()
@@ -250,7 +250,7 @@ class _Pack:
         head, rest = (x[self.first].astype(np.int64) for x in (self.entries.head, self.entries.rest))
         key = _joint(head, rest)
         for blob in marks:
-            h, r, m, s = _from_sorted(blob)
+            h, r, m, s = from_sorted(blob)
             at = np.searchsorted(key, _joint(h, r))
             at = np.minimum(at, max(len(key) - 1, 0))
             hit = key[at] == _joint(h, r) if len(key) else np.zeros(len(h), bool)
@@ -279,13 +279,13 @@ def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out.view("S16").reshape(-1) if len(a) else np.zeros(0, "S16")
 
 
-def _dealt(g: int, buckets: int, keys: np.ndarray, *others: np.ndarray) -> pa.RecordBatch:
+def dealt(g: int, buckets: int, keys: np.ndarray, *others: np.ndarray) -> pa.RecordBatch:
     """An array cut into the buckets of its keys."""
     keys = keys.astype(np.int64)
     bucket = ((keys >> 16) * buckets) >> (KEY_BITS - 16)
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
     used = bucket[cuts[:-1]]
-    blobs = [_sorted_blob(*(x[s:t] for x in (keys, *others))) for s, t in zip(cuts[:-1], cuts[1:], strict=True)]
+    blobs = [sorted_blob(*(x[s:t] for x in (keys, *others))) for s, t in zip(cuts[:-1], cuts[1:], strict=True)]
     columns = [pa.array(used, pa.int32()), pa.array([-1] * len(used), pa.int32()), pa.array([g] * len(used), pa.int64()), pa.array(blobs, pa.binary())]
     return pa.RecordBatch.from_arrays(columns, names=["bucket", "level", "g", "entries"])
 
@@ -296,7 +296,7 @@ def _array_batches(buckets: int):
             for i in range(batch.num_rows):
                 pack = _Pack(batch, i)
                 if len(pack.first):
-                    yield _dealt(pack.g, buckets, *pack.array())
+                    yield dealt(pack.g, buckets, *pack.array())
 
     return run
 
@@ -313,7 +313,7 @@ def _string_batches(buckets: int):
                 order = _order(hashes, check, ids)
                 h, c = hashes[order], check[order]
                 once = _new(h, c)
-                yield _dealt(pack.g, buckets, h[once], c[once], ids[order][once])
+                yield dealt(pack.g, buckets, h[once], c[once], ids[order][once])
 
     return run
 
@@ -333,7 +333,7 @@ def _kept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
                 key = _joint(hashes[order][new], check[order][new])
                 for blob in batch.column("strings")[i].as_py() or []:
-                    h, c, m = _from_sorted(blob)
+                    h, c, m = from_sorted(blob)
                     np.minimum.at(least, np.searchsorted(key, _joint(h, c)), m)
                 away = at[order][ids[order] > least[np.cumsum(new) - 1]]
                 starts.append(away)
@@ -368,13 +368,13 @@ def _runs(starts: np.ndarray, stops: np.ndarray, ends: np.ndarray) -> tuple[np.n
 # One bucket.
 
 
-def _answers(g: np.ndarray, arrays: list[np.ndarray], chosen: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def answers(g: np.ndarray, arrays: list[np.ndarray], chosen: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """What each pack is told: the chosen rows, sorted by their keys already, by pack."""
     rows = np.flatnonzero(chosen)
     rows = rows[np.argsort(g[rows], kind="stable")]
     cuts = np.flatnonzero(np.r_[True, g[rows][1:] != g[rows][:-1], True]) if len(rows) else [0]
     for s, t in zip(cuts[:-1], cuts[1:], strict=True):
-        yield int(g[rows[s]]), _sorted_blob(*(x[rows[s:t]] for x in arrays))
+        yield int(g[rows[s]]), sorted_blob(*(x[rows[s:t]] for x in arrays))
 
 
 def _table(kinds: list[str], gs: list[int], bucket: int, blobs: list[bytes]) -> pa.Table:
@@ -389,12 +389,12 @@ def _merged(merge: list[int]):
         parts = []
         for level, g, blob in zip(*(rows.column(n).to_pylist() for n in ("level", "g", "entries")), strict=True):
             if level < 0:
-                head, rest, least = _from_sorted(blob)
+                head, rest, least = from_sorted(blob)
                 own, asked = np.full(len(head), g), np.zeros(len(head), np.int64)
             else:
                 size = int.from_bytes(blob[:8], "little")
                 (names,) = unpacked(blob[8 : 8 + size])
-                head, rest, least, held = _from_sorted(blob[8 + size :])
+                head, rest, least, held = from_sorted(blob[8 + size :])
                 own, asked = names[held >> 1], held & 1
             parts.append((head, rest, least, own, asked, np.full(len(head), level)))
         head, rest, least, g, asked, level = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -412,7 +412,7 @@ def _merged(merge: list[int]):
         # Rows of a level are told only that their strings are asked for now, and only once.
         told = np.where(level < 0, shared[kind] | splits, fresh) & (rest != token)
         gs, blobs = [], []
-        for pack, blob in _answers(g, [head, rest, first, splits.astype(np.int64)], told):
+        for pack, blob in answers(g, [head, rest, first, splits.astype(np.int64)], told):
             gs.append(pack)
             blobs.append(blob)
         kinds = ["mark"] * len(gs)
@@ -424,7 +424,7 @@ def _merged(merge: list[int]):
             kinds.append("level")
             gs.append(0)
             listed = packed(names)
-            blobs.append(len(listed).to_bytes(8, "little") + listed + _sorted_blob(head, rest, least, number * 2 + asked))
+            blobs.append(len(listed).to_bytes(8, "little") + listed + sorted_blob(head, rest, least, number * 2 + asked))
         return _table(kinds, gs, int(rows.column("bucket")[0].as_py()), blobs)
 
     return run
@@ -442,7 +442,7 @@ def _merged_strings(store: bool):
 def _strings_of_bucket(rows: pa.Table, store: bool) -> pa.Table:
     parts = []
     for level, g, blob in zip(*(rows.column(n).to_pylist() for n in ("level", "g", "entries")), strict=True):
-        h, c, m = _from_sorted(blob)
+        h, c, m = from_sorted(blob)
         parts.append((h, c, m, np.full(len(h), g), np.full(len(h), level)))
     h, c, m, g, level = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = _order(h, c, m)
@@ -450,14 +450,14 @@ def _strings_of_bucket(rows: pa.Table, store: bool) -> pa.Table:
     new = _new(h, c)
     kind = np.cumsum(new) - 1
     gs, blobs = [], []
-    for pack, blob in _answers(g, [h, c, m[new][kind]], (np.bincount(kind) > 1)[kind] & (level < 0)):
+    for pack, blob in answers(g, [h, c, m[new][kind]], (np.bincount(kind) > 1)[kind] & (level < 0)):
         gs.append(pack)
         blobs.append(blob)
     kinds = ["mark"] * len(gs)
     if store:
         kinds.append("level")
         gs.append(0)
-        blobs.append(_sorted_blob(h[new], c[new], m[new]))
+        blobs.append(sorted_blob(h[new], c[new], m[new]))
     return _table(kinds, gs, int(rows.column("bucket")[0].as_py()), blobs)
 
 
@@ -489,10 +489,10 @@ class SuffixIndex:
         """Store documents (batch, doc_id, text) in packs."""
         path = self._name("packs")
         docs.select(F.col("batch").cast("int"), F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-            _pack_batches(self.scans, PACK), _PACKS
+            pack_batches(self.scans, PACK), PACKS
         ).write.option("compression", "zstd").partitionBy("batch").parquet(path)
         self.packs.append((path, False))
-        return self.spark.read.schema(_PACKS).parquet(path)
+        return self.spark.read.schema(PACKS).parquet(path)
 
     def scan(self, packs: DataFrame) -> None:
         """Add the packs of one batch to the levels."""
@@ -502,7 +502,7 @@ class SuffixIndex:
                 break
             merge.append(i)
             size *= 2
-        rows = packs.mapInArrow(_array_batches(self.buckets), _BLOBS)
+        rows = packs.mapInArrow(_array_batches(self.buckets), BLOBS)
         for i, (_, path) in enumerate(self.levels):
             rows = rows.union(self._read(path, "level").select("bucket", F.lit(i).alias("level"), "g", "entries"))
         path = self._name("level")
@@ -532,8 +532,8 @@ class SuffixIndex:
             self._told(self.marks, "marks", "marks").write.parquet(path)
         marks = self.spark.read.schema("g bigint, marks array<binary>").parquet(path)
         # Of settled packs only those that are asked for strings are read again.
-        asked = [self.spark.read.schema(_PACKS).parquet(p).join(marks, "g", "inner" if done else "left") for p, done in self.packs]
-        rows = reduce(DataFrame.union, asked).mapInArrow(_string_batches(self.buckets), _BLOBS)
+        asked = [self.spark.read.schema(PACKS).parquet(p).join(marks, "g", "inner" if done else "left") for p, done in self.packs]
+        rows = reduce(DataFrame.union, asked).mapInArrow(_string_batches(self.buckets), BLOBS)
         for i, old in enumerate(self.strings):
             rows = rows.union(self._read(old, "level").select("bucket", F.lit(i).alias("level"), "g", "entries"))
         found = self._name("strings")
@@ -542,7 +542,7 @@ class SuffixIndex:
         for old in self.strings:
             delete_path(self.spark, old)
         self.strings = [found]
-        own = reduce(DataFrame.union, [self.spark.read.schema(_PACKS).parquet(p) for p, done in self.packs if not done])
+        own = reduce(DataFrame.union, [self.spark.read.schema(PACKS).parquet(p) for p, done in self.packs if not done])
         self.packs, self.marks = [(p, True) for p, _ in self.packs], []
         joined = own.join(marks, "g", "left").join(self._told([found], "strings", "strings"), "g", "left")
         kind = "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
