@@ -166,6 +166,42 @@ def chunk_candidates(
     )
 
 
+def merged_small(chunks: DataFrame, smallest: int, largest: int, between: str = "\n") -> DataFrame:
+    """Chunk rows of which short ones are joined with what follows them.
+
+    Read from the first chunk of a document: one below `smallest` characters takes in the next, `between` standing between them, unless that would
+    make more than `largest`; then it is left as it is. Title and section are those of the first part. Numbers and ids are made anew.
+    Nothing is dropped; chunks without a number come first, ties by chunk_id. A document's chunks are one array, as its text was one cell.
+    """
+    order = F.struct(F.coalesce("metadata.chunk_index", F.lit(-1)).alias("i"), "chunk_id", "content", "metadata.title", "metadata.section")
+    listed = chunks.groupBy("document_id").agg(F.array_sort(F.collect_list(order)).alias("parts"))
+    parts = F.transform(
+        "parts", lambda p: F.struct(F.coalesce(p["content"], F.lit("")).alias("content"), p["title"].alias("title"), p["section"].alias("section"))
+    )
+    kind = "struct<done:array<struct<content:string,title:string,section:string>>,now:struct<content:string,title:string,section:string>>"
+
+    def step(state: Column, part: Column) -> Column:
+        now = state["now"]
+        joined = F.concat(now["content"], F.lit(between), part["content"])
+        fits = (F.length(now["content"]) < smallest) & (F.length(joined) <= largest)
+        grown = F.struct(joined.alias("content"), now["title"].alias("title"), now["section"].alias("section"))
+        return (
+            F.when(now.isNull(), F.struct(state["done"].alias("done"), part.alias("now")))
+            .when(fits, F.struct(state["done"].alias("done"), grown.alias("now")))
+            .otherwise(F.struct(F.concat(state["done"], F.array(now)).alias("done"), part.alias("now")))
+            .cast(kind)
+        )
+
+    start = F.struct(F.array().alias("done"), F.lit(None).alias("now")).cast(kind)
+    whole = F.aggregate(parts, start, step, lambda s: F.concat(s["done"], F.array(s["now"])))
+    return listed.select("document_id", F.posexplode(whole).alias("chunk_index", "c")).select(
+        "document_id",
+        F.concat_ws("-", "document_id", "chunk_index").alias("chunk_id"),
+        F.col("c.content").alias("content"),
+        F.struct(F.col("c.title").alias("title"), F.col("c.section").alias("section"), "chunk_index").alias("metadata"),
+    )
+
+
 def chunk_record(section: Column) -> list[Column]:
     """Columns of a chunk row from those of `chunk_candidates` and the chosen section."""
     return [

@@ -20,6 +20,7 @@ from ..operators import chunk as C
 from ..operators import embed as E
 from ..operators import html as H
 from ..operators import pdf_layout as P
+from ..operators import vector_search
 from ..sources import chunk_table, files, jsonl
 from ..sources.files import spread
 from ..sources.staging import shared_folder
@@ -189,8 +190,9 @@ def k2_jsonl_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def k2_chunk_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunks written as JSON lines to the shared folder and read back."""
+    """Chunks written as JSON lines to the shared folder by two runs, of which the second replaces the first, and read back."""
     path = f"{shared_folder(spark)}/textquarry-chunks-{uuid.uuid4().hex}"
+    jsonl.write_chunks(C.chunk_documents(documents(spark, folder), 200, 20), path)
     jsonl.write_chunks(C.chunk_documents(documents(spark, folder)), path)
     return flat_chunks(jsonl.read_chunks(spark, path))
 
@@ -510,6 +512,11 @@ def c8_chunks_headed(spark: SparkSession, folder: str) -> DataFrame:
     return flat_chunks(C.chunk_documents(headed_documents(spark, folder)))
 
 
+@query
+def c14_merged_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return flat_chunks(C.merged_small(C.chunk_documents(headed_documents(spark, folder)), 200, 500))
+
+
 @query
 def c10_fallback_title(spark: SparkSession, folder: str) -> DataFrame:
     talks = table(spark, folder, "conversations")
@@ -640,6 +647,28 @@ def u2_integrity(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_table.integrity(stored_vectors(spark, folder), 64, "document_id")
 
 
+@query
+def u5_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest of all vectors for each whose id is divisible by 100."""
+    rows = table(spark, folder, "embeddings")
+    found = vector_search.nearest(rows.where("vec_id % 100 = 0"), rows, 10, "vec_id")
+    return found.withColumn("cosine", F.round("cosine", 6))
+
+
+@query
+def s9_sample_each(spark: SparkSession, folder: str) -> DataFrame:
+    chunks = C.chunk_documents(documents(spark, folder))
+    return chunk_table.sample_each(chunks, 3, 7).select("document_id", "chunk_id", "content")
+
+
+@query
+def k6_load_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, chunks and characters by source and language, with all subtotals."""
+    named = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("document_id"), "source", "lang")
+    chunks = C.chunk_documents(documents(spark, folder)).join(named, "document_id")
+    return chunk_table.load_report(chunks, "source", "lang")
+
+
 @query
 def u3_vector_text(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select("vec_id", format_vector(F.col("embedding")).alias("vector"))

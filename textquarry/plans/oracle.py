@@ -4,6 +4,9 @@ from .catalog import DIMENSION, ENDINGS, FAILS_ON
 
 ORACLE_SQL: dict[str, str] = {}
 
+# Whether an open chunk o takes in the next one, c.
+_FITS = "length(o.content) < 200 AND length(o.content) + 1 + length(c.content) <= 500"
+
 # The whitespace that occurs in the texts.
 _WS = "' ' || chr(9) || chr(10) || chr(13)"
 
@@ -423,6 +426,39 @@ _sql(
         count(*) FILTER (content = '') AS empty_content, count(*) FILTER (NOT json_valid(metadata)) AS invalid_metadata
         FROM ({_STORED}) GROUP BY document_id""",
 )
+_sql(
+    "u5_nearest_vectors",
+    """SELECT query, CAST(row_number() OVER near AS INT) AS rank, id, round(cosine, 6) AS cosine FROM (
+         SELECT a.vec_id AS query, b.vec_id AS id,
+                round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) AS cosine
+         FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
+       WINDOW near AS (PARTITION BY query ORDER BY cosine DESC, id) QUALIFY row_number() OVER near <= 10""",
+)
+_sql(
+    "s9_sample_each",
+    f"""SELECT document_id, chunk_id, content FROM ({_CHUNKS})
+        QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY sha256('7/' || chunk_id), content) <= 3""",
+)
+_sql(
+    "k6_load_report",
+    f"""SELECT source, lang, grouping(source, lang) AS grouping, count(DISTINCT document_id) AS documents, count(*) AS chunks,
+               CAST(sum(length(content)) AS BIGINT) AS characters
+        FROM ({_CHUNKS}) JOIN (SELECT CAST(doc_id AS VARCHAR) AS document_id, source, lang FROM documents) USING (document_id)
+        GROUP BY CUBE (source, lang)""",
+)
+# A row for each document and chunk read: the chunk that is open then, and its number.
+_sql(
+    "c14_merged_chunks",
+    f"""WITH RECURSIVE chunks AS (SELECT {_FLAT} FROM ({_HEADED_CHUNKS})), open AS (
+          SELECT document_id, chunk_index AS i, content, title, section, 0 AS n FROM chunks WHERE chunk_index = 0
+          UNION ALL
+          SELECT o.document_id, c.chunk_index, CASE WHEN {_FITS} THEN o.content || chr(10) || c.content ELSE c.content END,
+                 CASE WHEN {_FITS} THEN o.title ELSE c.title END, CASE WHEN {_FITS} THEN o.section ELSE c.section END,
+                 CASE WHEN {_FITS} THEN o.n ELSE o.n + 1 END
+          FROM open o JOIN chunks c ON c.document_id = o.document_id AND c.chunk_index = o.i + 1)
+        SELECT document_id, document_id || '-' || n AS chunk_id, content, title, section, CAST(n AS INT) AS chunk_index
+        FROM open QUALIFY row_number() OVER (PARTITION BY document_id, n ORDER BY i DESC) = 1""",
+)
 _sql("u3_vector_text", f"SELECT vec_id, {_EMBEDDING_TEXT} AS vector FROM embeddings")
 _sql(
     "u3_vector_parse",

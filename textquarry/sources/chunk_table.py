@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +99,27 @@ def mismatches(sent: DataFrame, stored: DataFrame) -> None:
         raise TableError(f"stored chunks do not match: {wrong}")
 
 
+def sample_each(rows: DataFrame, k: int, seed: int = 0) -> DataFrame:
+    """Of every document the k rows with the least digests of seed and chunk_id, ties by content: a random sample that needs no order of rows.
+
+    A task sends k rows of a document at most, and samples of parts merge into that of the whole.
+    """
+    mark = F.sha2(F.concat_ws("/", F.lit(str(seed)), F.coalesce("chunk_id", F.lit(""))), 256)
+    first = Window.partitionBy("document_id").orderBy("_mark", F.col("content"))
+    numbered = rows.withColumn("_mark", mark).withColumn("_n", F.row_number().over(first))
+    return numbered.where(F.col("_n") <= k).drop("_mark", "_n")
+
+
+def load_report(rows: DataFrame, *by: str) -> DataFrame:
+    """documents, chunks and characters for every combination of `by` and of any part of it; grouping: a bit for each column that is left out."""
+    return rows.cube(*by).agg(
+        F.grouping_id().alias("grouping"),
+        F.countDistinct("document_id").alias("documents"),
+        F.count(F.lit(1)).alias("chunks"),
+        F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("characters"),
+    )
+
+
 @dataclass
 class ChunkTable:
     """One writer at a time; readers at any time."""
@@ -183,6 +204,10 @@ class ChunkTable:
         """A few random rows of a document."""
         return self.read().where(F.col("document_id") == document_id).orderBy(F.rand()).limit(SAMPLE_ROWS)
 
+    def sample_each(self, k: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
+        """k random rows of every document, the same for one seed."""
+        return sample_each(self.read(), k, seed)
+
     def sanity_check(self, incoming: DataFrame) -> None:
         """Compare what is stored of the incoming documents with what was sent, all of it.
 

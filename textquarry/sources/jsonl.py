@@ -9,9 +9,22 @@ from pyspark.sql import types as T
 from ..schemas import CHUNK
 
 
+#: Spark names the files of one write part-<task>-<id of the write>-c<file>.
+_RUN = r"^part-\d+-([0-9a-f-]{36})-c\d+"
+
+
 def read_chunks(spark: SparkSession, path: str | list[str], schema: T.StructType = CHUNK) -> DataFrame:
-    """Chunk rows; blank lines are skipped and the schema is never inferred."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """Chunk rows; blank lines are skipped and the schema is never inferred.
+
+    Of a document that several runs of `write_chunks` have written, the newest run counts. Files of one run have its id in their names, and
+    runs that follow one another are told apart by when their files were written; files of other origin count as the oldest run.
+    """
+    files = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    rows = files.withColumn("_run", F.regexp_extract("_metadata.file_name", _RUN, 1)).withColumn("_at", F.col("_metadata.file_modification_time"))
+    last = F.max(F.struct(F.col("_run") != "", "_at", "_run"))["_run"].alias("_newest")
+    newest = rows.groupBy(F.col("document_id").alias("_document")).agg(last)
+    own = F.col("document_id").eqNullSafe(F.col("_document")) & (F.col("_run") == F.col("_newest"))
+    return rows.join(newest, own, "left_semi").select(*schema.names)
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType = CHUNK) -> DataFrame:
@@ -26,7 +39,10 @@ def chunk_line(*columns: str) -> Column:
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
-    """Add files with one JSON object per line; what the folder holds already stays. Non-ASCII text stays literal."""
+    """Add files with one JSON object per line; for `read_chunks` they replace what earlier runs have written of the same documents.
+
+    Other documents in the folder stay. Non-ASCII text stays literal. A run that breaks off leaves no files that count.
+    """
     chunks.select(*CHUNK.names).write.mode("append").json(path)
 
 
