@@ -45,3 +45,11 @@ def test_odd_documents(spark, documents, clashing, no_documents, rows):
     assert rows(quality.quality_scores(clashing, labels), *columns) == got
     assert quality.quality_scores(no_documents, labels).count() == 0
     assert {r["score"] for r in quality.quality_scores(documents, labels.limit(0)).collect()} == {0.5}
+
+
+def test_scores_do_not_depend_on_the_order_of_rows(spark):
+    docs, labels = corpus(spark, 200)
+    twice = docs.union(docs.withColumn("text", F.reverse("text"))).union(docs.withColumn("text", F.lit("one for all")))
+    dealt = (twice.repartition(1), twice.orderBy(F.desc("text")).repartition(7))
+    one, other = (sorted(map(tuple, quality.quality_scores(x, labels).collect())) for x in dealt)
+    assert one == other
