@@ -114,14 +114,14 @@ def test_command_line(spark, folder, tmp_path):
     text = tmp_path / "sample.txt"
     text.write_text("## Rivers\nThey run.\n\nThey bend.", encoding="utf-8")
     chunked = str(tmp_path / "chunks")
-    args = ["--document-id", "DOC001", "--title", "示例文档", "--output-dir", chunked, "--disable-llm"]
+    args = ["--document-id", "R-7", "--title", "河流说明", "--output-dir", chunked, "--disable-llm"]
     assert run("chunk", "--input-file", str(text), *args) == 0
     got = jsonl.read_chunks(spark, chunked).collect()
-    assert [(c.document_id, c.metadata.title) for c in got] == [("DOC001", "示例文档")]
+    assert [(c.document_id, c.metadata.title) for c in got] == [("R-7", "河流说明")]
     assert run("chunk", "--input-file", str(tmp_path / "no.txt")) == 1
     base = ["--table", str(tmp_path / "t"), "--dimension", "8", "--clean-output-dir", out,
             "--chunks-output-dir", str(tmp_path / "c2"), "--dead-letter-dir", str(tmp_path / "dead")]
-    one = ["ingest", "--input-file", str(folder / "one.HTML"), "--document-id", "DOC-I", "--title", "示例文档"]
+    one = ["ingest", "--input-file", str(folder / "one.HTML"), "--document-id", "DOC-I", "--title", "河流说明"]
     assert run(*one, *base) == 0
     stored = ChunkTable(spark, str(tmp_path / "t"), 8).read().collect()
     assert [r.chunk_id for r in stored] == ["DOC-I-0"]
