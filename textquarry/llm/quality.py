@@ -70,10 +70,10 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     has_next = np.zeros(n, bool)
     if n:
         has_next[:-1] = row[1:] == row[:-1]
-        pair[:-1] = mixed(word[:-1] * np.uint64(3) + word[1:])
+        pair[:-1] = np.where(has_next[:-1], mixed(word[:-1] * np.uint64(3) + word[1:]), np.uint64(0))
         shapes[:-1] = mixed(shape[:-1] * np.uint64(5) + shape[1:])
     same = np.zeros(n, bool)
-    same[:-1] = word[1:] == word[:-1]
+    same[:-1] = has_next[:-1] & (word[1:] == word[:-1])
     _, back, times = np.unique(mixed(pair + row.astype(np.uint64)), return_inverse=True, return_counts=True)
     often = mixed(np.minimum(np.log2(times[back]), 12).astype(np.uint64) + np.uint64(77) + np.uint64(50) * same) if n else pair
     out = np.empty((KINDS, n), np.int64)
