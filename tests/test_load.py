@@ -132,6 +132,23 @@ def test_a_load_that_breaks_anywhere_leaves_all_documents(spark, tmp_path, monke
     assert len(store.versions()) == 1 and len(list((tmp_path / "table" / "rows").iterdir())) == 1
 
 
+def test_a_reader_outlives_a_compaction(spark, tmp_path):
+    store = table(spark, tmp_path)
+    store.upsert(embedded(spark, rows_for("a", 2) + rows_for("b", 1)))
+    store.upsert(embedded(spark, rows_for("a", 1, mark="!")))
+    begun = store.read().select("chunk_id", "content")
+    want = [("a-0", "text 0!"), ("b-0", "text 0")]
+    store.compact()
+    store.upsert(embedded(spark, rows_for("b", 1, mark="?")))
+    assert sorted(map(tuple, begun.collect())) == want
+    assert sorted(map(tuple, store.read().select("chunk_id", "content").collect())) == [want[0], ("b-0", "text 0?")]
+    assert len(store.versions()) == 2
+    store.compact()
+    assert len(store.versions()) == 1 and len(list((tmp_path / "table" / "rows").iterdir())) == 3
+    store.compact()
+    assert len(list((tmp_path / "table" / "rows").iterdir())) == 1 and store.read().count() == 2
+
+
 def test_sanity_check_finds_damage(spark, tmp_path):
     store = table(spark, tmp_path)
     sent = store.upsert(embedded(spark, rows_for("x", 2)))

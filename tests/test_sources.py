@@ -1,3 +1,4 @@
+import os
 from pathlib import PurePosixPath
 
 import pytest
@@ -7,6 +8,7 @@ from textquarry.functions.providers import DigestEmbedder
 from textquarry.plans import cli, ingest
 from textquarry.sources import files, jsonl, staging
 from textquarry.sources.chunk_table import ChunkTable, TableError
+from textquarry.streaming import inbox
 from textquarry.streaming.inbox import watch_inbox
 
 HTML = "<html><body><h2>Lakes</h2><p>Deep and cold.</p><p>Some are salty.</p></body></html>"
@@ -102,6 +104,24 @@ def test_inbox(spark, folder, tmp_path):
     assert {r.content for r in table.read().where("document_id = 'two'").collect()} == {"## B\nnew"}
 
 
+def test_every_file_of_an_inbox_ends_somewhere(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(inbox, "COMPACT_AT", 1)
+    table = ChunkTable(spark, str(tmp_path / "table"), 8)
+    for at, place in ((1_700_000_000, "a"), (1_700_000_900, "b")):
+        (folder / place).mkdir()
+        (folder / place / "two.md").write_text(f"## {place}\ntext", encoding="utf-8")
+        os.utime(folder / place / "two.md", (at, at))
+    os.utime(folder / "two.md", (1_600_000_000, 1_600_000_000))
+    lost = str(tmp_path / "lost")
+    watch_inbox(spark, str(folder), table, DigestEmbedder(8), str(tmp_path / "ckpt"), left_out=lost).awaitTermination()
+    rejects = {"/".join(r.path.split("/")[-2:]): r.error for r in spark.read.json(f"{lost}/rejects/*").collect()}
+    assert set(rejects) == {"in/sheet.csv", "in/fake.pdf", "in/list.htm", "in/two.md", "a/two.md"}
+    assert "newer" in rejects["a/two.md"] and {r.content for r in table.read().collect() if r.document_id == "two"} == {"## b\ntext"}
+    (folder / "three.md").write_text("## C\ntext", encoding="utf-8")
+    watch_inbox(spark, str(folder), table, DigestEmbedder(8), str(tmp_path / "ckpt"), left_out=lost).awaitTermination()
+    assert len(table.versions()) == 1 and table.read().select("document_id").distinct().count() == 3
+
+
 def test_command_line(spark, folder, tmp_path):
     def run(*args):
         return cli.main(list(args), spark)
@@ -111,6 +131,8 @@ def test_command_line(spark, folder, tmp_path):
     assert run("clean", "--input-file", str(folder / "missing.md"), "--output-dir", out) == 1
     assert run("clean", "--input-file", str(folder / "sheet.csv"), "--output-dir", out) == 2
     assert run("clean", "--input-file", str(folder / "fake.pdf"), "--output-dir", out) == 2
+    assert run("clean", "--input-file", str(folder), "--output-dir", out, "--rejects-dir", str(tmp_path / "left")) == 0
+    assert {r.path.rsplit("/", 1)[1] for r in spark.read.json(str(tmp_path / "left")).collect()} == {"list.htm", "fake.pdf", "sheet.csv"}
     text = tmp_path / "sample.txt"
     text.write_text("## Rivers\nThey run.\n\nThey bend.", encoding="utf-8")
     chunked = str(tmp_path / "chunks")

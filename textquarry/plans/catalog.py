@@ -21,6 +21,7 @@ from ..operators import embed as E
 from ..operators import html as H
 from ..operators import pdf_layout as P
 from ..operators import vector_search
+from ..schemas import METADATA
 from ..sources import chunk_table, files, jsonl
 from ..sources.files import spread
 from ..sources.staging import shared_folder
@@ -102,27 +103,17 @@ def s2_plain_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def s4_page_fallback(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as one page each; the words of some lie in the header band only."""
-    base = spread(table(spark, folder, "documents"))
-    pages = base.select(
-        F.col("doc_id"), F.lit(1).alias("page_no"), F.concat(F.lit(" "), "text", F.lit("\n")).alias("fallback_text")
+    """All pages of all documents. On every third one the words lie in the header band only, so that its plain text counts."""
+    lifted = F.col("page_no") % 3 == 2
+    words = page_words(spark, folder).withColumns(
+        {c: F.when(lifted, F.lit(at)).otherwise(F.col(c)) for c, at in (("top", 50.0), ("bottom", 60.0))}
     )
-    top = F.when(F.col("lang") == "en", 50.0).otherwise(500.0)
-    words = base.select(
-        "doc_id",
-        F.lit(1).alias("page_no"),
-        F.lit(0).alias("word_idx"),
-        F.lit(800.0).alias("page_width"),
-        F.lit(1000.0).alias("page_height"),
-        F.col("lang").alias("text"),
-        F.lit(100.0).alias("x0"),
-        F.lit(140.0).alias("x1"),
-        top.alias("top"),
-        (top + 10).alias("bottom"),
-        F.lit(10.0).alias("size"),
-        F.lit("Helvetica").alias("fontname"),
-    )
-    return P.with_page_fallback(P.page_texts(P.laid_out_lines(words)), pages)
+    tokens = F.split(F.regexp_replace("text", "[ \n]+", " "), " ")
+    numbers = F.explode(F.sequence(F.lit(1), F.ceil(F.size("tokens") / F.lit(240)).cast("int"))).alias("page_no")
+    plain = F.array_join(F.slice("tokens", (F.col("page_no") - 1) * 240 + 1, F.lit(240)), " ")
+    pages = spread(table(spark, folder, "documents")).select("doc_id", tokens.alias("tokens")).select("*", numbers)
+    fallback = pages.select(*P.PAGE, F.concat(F.lit(" "), plain, F.lit("\n")).alias("fallback_text"))
+    return P.with_page_fallback(P.page_texts(P.laid_out_lines(words)), fallback)
 
 
 @query
@@ -204,6 +195,12 @@ def k3_dead_letter_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def k4_stored_table(spark: SparkSession, folder: str) -> DataFrame:
+    return _twice_loaded(spark, folder).read().select(
+        "chunk_id", "document_id", "content", format_vector(F.col("embedding")).alias("vector"), "metadata"
+    )
+
+
+def _twice_loaded(spark: SparkSession, folder: str) -> chunk_table.ChunkTable:
     """A table in the shared folder after two loads: all documents, then the labelled ones anew."""
     path = f"{shared_folder(spark)}/textquarry-table-{uuid.uuid4().hex}"
     store = chunk_table.ChunkTable(spark, path, DIMENSION)
@@ -213,9 +210,7 @@ def k4_stored_table(spark: SparkSession, folder: str) -> DataFrame:
         batches = E.with_sections(E.document_batches(part, size, overlap))
         rows = E.succeeded(E.embedded_chunks(E.embed_batches(batches, DigestEmbedder(DIMENSION))))
         store.sanity_check(store.upsert(rows))
-    return store.read().select(
-        "chunk_id", "document_id", "content", format_vector(F.col("embedding")).alias("vector"), "metadata"
-    )
+    return store
 
 
 @query
@@ -614,12 +609,11 @@ def l2_paired_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def u1_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunks of all documents, those of the labelled ones replaced by larger chunks."""
-    docs = documents(spark, folder)
-    labelled = table(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("document_id"))
-    stored = flat_chunks(C.chunk_documents(docs))
-    incoming = flat_chunks(C.chunk_documents(docs.join(labelled, "document_id", "left_semi"), 500, 100))
-    return chunk_table.replaced(stored, incoming)
+    """A stored table of all documents, those of the labelled ones replaced by larger chunks, after its compaction."""
+    store = _twice_loaded(spark, folder)
+    store.compact()
+    rows = store.read().withColumn("metadata", F.from_json("metadata", METADATA))
+    return flat_chunks(rows)
 
 
 def stored_vectors(spark: SparkSession, folder: str) -> DataFrame:

@@ -48,6 +48,8 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--dimension", type=int, default=1536)
     ingest.add_argument("--embedding-url", help="without it a digest stands in for embeddings")
     ingest.add_argument("--embedding-model", default="")
+    for step in (clean, ingest):
+        step.add_argument("--rejects-dir", default="data/rejects", help="folder for the list of files that were left out")
     for step in (chunk, ingest):
         step.add_argument("--disable-llm", action="store_true", help="never call a title service")
         step.add_argument("--log-dir", help="folder for records of service calls")
@@ -71,23 +73,22 @@ def _one_supported(path: str) -> None:
         raise ValueError(f"Unsupported file extension: {Path(path).suffix or '<none>'}")
 
 
-def _refuse(rejects: DataFrame, path: str) -> None:
-    """Name every file that was left out, a partition of them at a time."""
-    number = 0
-    for row in rejects.toLocalIterator():
-        number += 1
-        LOG.error("%s: %s", row.path, row.error)
-        if Path(path).is_file():
-            raise ValueError(row.error)
-    if number:
-        LOG.error("files left out: %s", number)
+def _refuse(rejects: DataFrame, path: str, folder: str) -> None:
+    """Add the files that were left out to JSON lines in `folder`; a single named file is an error."""
+    first = rejects.first()
+    if first is None:
+        return
+    if Path(path).is_file():
+        raise ValueError(first.error)
+    rejects.write.mode("append").json(folder)
+    LOG.error("files left out: %s, named in %s", rejects.count(), folder)
 
 
 def run_clean(spark: SparkSession, args: argparse.Namespace) -> None:
     _one_supported(args.input_file)
     with staged(spark) as copies:
         cleaned = clean_files(spark, args.input_file, copies.written_once)
-        _refuse(cleaned.rejects, args.input_file)
+        _refuse(cleaned.rejects, args.input_file, args.rejects_dir)
         jsonl.write_clean_texts(cleaned.documents, args.output_dir)
 
 
@@ -133,7 +134,7 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         batch_size=args.loader_batch_size,
     )
     LOG.info("total=%s succeeded=%s failed=%s", report.total, report.succeeded, report.failed)
-    _refuse(rejects, args.input_file)
+    _refuse(rejects, args.input_file, args.rejects_dir)
 
 
 # Exit codes per step for a missing file, bad input, a failed load, anything else.

@@ -100,11 +100,6 @@ def _sql(name: str, text: str) -> None:
 
 _sql("s1_decode_bytes", "SELECT page_id, CAST(length(t) AS INT) AS n_chars, md5(t) AS digest FROM (SELECT page_id, html AS t FROM pages)")
 _sql("s2_plain_text", "SELECT doc_id, text AS clean_text FROM documents")
-_sql(
-    "s4_page_fallback",
-    f"""SELECT doc_id, CAST(1 AS INT) AS page_no,
-        CASE WHEN lang = 'en' THEN {_strip('text')} ELSE lang END AS page_text FROM documents""",
-)
 _sql("s5_strict_text", "SELECT doc_id, text AS clean_text FROM documents")
 _sql("k1_clean_texts", f"SELECT lpad(CAST(doc_id AS VARCHAR), 12, '0') AS document_id, {_strip('text')} AS clean_text FROM documents")
 _sql("s6_jsonl_round_trip", _CHUNKS)
@@ -345,6 +340,15 @@ _pdf("p5_segments", "SELECT doc_id, page_no, line_top, segment_no, first_x0, cen
 _pdf("p7_columns", "SELECT doc_id, page_no, max(boundary) AS boundary, count(*) FILTER (column_no = 0) AS left_lines, count(*) FILTER (column_no = 1) AS right_lines FROM placed GROUP BY doc_id, page_no")
 _pdf("p13_joints", "SELECT doc_id, page_no, column_no, line_top, segment_no, text, kept, joint FROM joined")
 _pdf("p15_page_texts", "SELECT doc_id, page_no, page_text FROM page_texts")
+_pdf(
+    "s4_page_fallback",
+    f""", split AS (SELECT doc_id, string_split(regexp_replace(text, '[ \\n]+', ' ', 'g'), ' ') AS tokens FROM documents),
+        plain AS (
+          SELECT doc_id, page_no, {_strip("array_to_string(tokens[(page_no - 1) * 240 + 1 : page_no * 240], ' ')")} AS plain_text
+          FROM (SELECT *, CAST(unnest(range(1, CAST(ceil(len(tokens) / 240.0) AS BIGINT) + 1)) AS INT) AS page_no FROM split))
+        SELECT p.doc_id, p.page_no, CASE WHEN p.page_no % 3 = 2 THEN plain_text ELSE coalesce(t.page_text, plain_text) END AS page_text
+        FROM plain p LEFT JOIN page_texts t ON t.doc_id = p.doc_id AND t.page_no = p.page_no""",
+)
 _pdf(
     "p16_documents",
     f""", all_pages AS (

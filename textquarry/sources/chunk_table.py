@@ -4,6 +4,9 @@ Nothing stored is ever changed. A load appends a version: first its rows, as a f
 then its document ids below `commits`. With the success mark that Spark's writer puts there last, the version
 counts. Of a document the rows of its newest counting version are the stored ones. So a load writes just its own
 rows, and one that ends anywhere leaves all documents as they were.
+
+A compaction appends a version too, a base, with which all older ones stop counting. Their files stay until the next
+compaction, so that a reader who has begun may end.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from .staging import delete_path
 SAMPLE_ROWS = 3
 _STORED = T.StructType([*VECTOR_ROW.fields, T.StructField("version", T.StringType())])
 _COMMIT = "document_id string, version string"
+_BASE = "-base"
 
 
 class TableError(RuntimeError):
@@ -41,16 +45,6 @@ def to_vector_rows(embedded: DataFrame) -> DataFrame:
     )
 
 
-def replaced(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Delete-and-insert by document: `target` without the incoming documents, plus `incoming`.
-
-    The ids are few next to the rows; adaptive execution broadcasts them when they
-    measure small and otherwise splits skewed partitions of the left side.
-    """
-    ids = incoming.select("document_id").distinct()
-    return target.join(ids, "document_id", "left_anti").unionByName(incoming)
-
-
 def defects(dimension: int) -> dict[str, Column]:
     """Counts of what disqualifies rows from being stored."""
     return {
@@ -138,12 +132,14 @@ class ChunkTable:
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         conf = self.spark._jsc.hadoopConfiguration()
         marks = {v: path(f"{self.path}/commits/{v}/_SUCCESS") for v in self._names("commits")}
-        return [v for v, mark in marks.items() if mark.getFileSystem(conf).exists(mark)]
+        counted = [v for v, mark in marks.items() if mark.getFileSystem(conf).exists(mark)]
+        base = max((v for v in counted if v.endswith(_BASE)), default="")
+        return [v for v in counted if v >= base]
 
-    def _new_version(self) -> str:
+    def _new_version(self, kind: str = "") -> str:
         seen = [*self._names("rows"), *self._names("commits")]
         number = max((int(v.split("-")[0]) for v in seen), default=0) + 1
-        return f"{number:012d}-{uuid.uuid4().hex[:8]}"
+        return f"{number:012d}-{uuid.uuid4().hex[:8]}{kind}"
 
     def _rows(self, *versions: str) -> DataFrame:
         if not versions:
@@ -183,19 +179,20 @@ class ChunkTable:
         return incoming
 
     def compact(self) -> None:
-        """Write all stored rows as one version and delete the others. It may end anywhere and be run again."""
+        """Write all stored rows as one version. It may end anywhere and be run again.
+
+        Versions that had stopped counting before, by an earlier compaction or an interrupted load, are deleted. Those that stop
+        counting now stay for readers that have begun; another call deletes them.
+        """
         old = self.versions()
+        for part in ("commits", "rows"):
+            for v in self._names(part):
+                if v not in old:
+                    delete_path(self.spark, f"{self.path}/{part}/{v}")
         if len(old) > 1:
-            version = self._new_version()
+            version = self._new_version(_BASE)
             self.read().withColumn("version", F.lit(version)).write.parquet(f"{self.path}/rows/{version}")
             self._commit(version)
-            for part in ("commits", "rows"):
-                for v in old:
-                    delete_path(self.spark, f"{self.path}/{part}/{v}")
-        counting = set(self.versions())
-        for v in self._names("rows"):  # what interrupted loads have left
-            if v not in counting:
-                delete_path(self.spark, f"{self.path}/rows/{v}")
 
     def counts(self) -> DataFrame:
         return self.read().groupBy("document_id").agg(F.count(F.lit(1)).alias("rows"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from pathlib import Path
@@ -72,7 +73,7 @@ class DatabaseTable:
 
     def upsert(self, embedded: DataFrame) -> DataFrame:
         incoming = checked(written_once(to_vector_rows(embedded), "incoming"), self.dimension)
-        staging = f"{self.table}_incoming"
+        staging = f"{self.table}_incoming_{uuid.uuid4().hex[:12]}"
         rows = incoming.drop("last_modified").withColumn("embedding", format_vector(F.col("embedding")))
         rows.write.jdbc(self.url, staging, mode="overwrite")
         swap_in(self.connect(), self.table, staging)
