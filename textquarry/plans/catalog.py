@@ -21,6 +21,7 @@ from ..operators import embed as E
 from ..operators import html as H
 from ..operators import pdf_layout as P
 from ..operators import vector_search
+from ..operators.metadata_search import MetadataIndex
 from ..schemas import METADATA
 from ..sources import chunk_table, files, jsonl
 from ..sources.files import spread
@@ -649,6 +650,18 @@ def u5_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("cosine", F.round("cosine", 6))
 
 
+@query
+def u5_metadata_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks by what their metadata contain: the title of each source, a number, titles with sections of every hundredth document."""
+    chunks = C.chunk_documents(documents(spark, folder)).withColumn("metadata", F.to_json("metadata"))
+    index = MetadataIndex(spark, f"{shared_folder(spark)}/textquarry-metadata-{uuid.uuid4().hex}").build(chunks)
+    own = F.from_json("metadata", METADATA)
+    asked = chunks.where("CAST(document_id AS BIGINT) % 100 = 0").select(F.to_json(F.struct(own["title"].alias("title"), own["section"].alias("section"))))
+    titles = table(spark, folder, "documents").select(F.to_json(F.struct(F.col("source").alias("title"))))
+    number = spark.range(1).select(F.lit('{"chunk_index":3}'))
+    return index.search(asked.union(titles).union(number).toDF("pattern")).withColumnRenamed("id", "chunk_id")
+
+
 @query
 def s9_sample_each(spark: SparkSession, folder: str) -> DataFrame:
     chunks = C.chunk_documents(documents(spark, folder))

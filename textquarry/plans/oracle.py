@@ -438,6 +438,13 @@ _sql(
          FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
        WINDOW near AS (PARTITION BY query ORDER BY cosine DESC, id) QUALIFY row_number() OVER near <= 10""",
 )
+_sql(
+    "u5_metadata_search",
+    f"""WITH c AS ({_CHUNKS}), p AS (SELECT DISTINCT title, section FROM c WHERE CAST(document_id AS BIGINT) % 100 = 0)
+        SELECT CAST(to_json(struct_pack(title := title, section := section)) AS VARCHAR) AS pattern, chunk_id FROM c JOIN p USING (title, section)
+        UNION ALL SELECT CAST(to_json(struct_pack(title := title)) AS VARCHAR), chunk_id FROM c
+        UNION ALL SELECT '{{"chunk_index":3}}', chunk_id FROM c WHERE chunk_index = 3""",
+)
 _sql(
     "s9_sample_each",
     f"""SELECT document_id, chunk_id, content FROM ({_CHUNKS})
