@@ -11,7 +11,7 @@ rows with one id each counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,12 +78,11 @@ def _near_batches(told: Broadcast, k: int):
     return run
 
 
-def nearest(queries: DataFrame, rows: DataFrame, k: int, id_column: str = "chunk_id", vector: str = "embedding") -> DataFrame:
-    """query, rank (from 1), id and cosine of the k nearest rows of each query; both tables have the id and the vector."""
-    spark = rows.sparkSession
+def in_blocks(queries: DataFrame, k: int, part: Callable[[Broadcast], DataFrame]) -> DataFrame:
+    """The k first of what `part` finds for each block of queries, told ids and unit vectors of one dimension."""
+    spark = queries.sparkSession
     with staged(spark) as copies:
-        stored = copies.written_once(_usable(rows, id_column, vector), "vectors")
-        asked = copies.written_once(_usable(queries, id_column, vector).withColumn("dimension", F.size("vector")), "queries")
+        asked = copies.written_once(queries.withColumn("dimension", F.size("vector")), "queries")
         found = spark.createDataFrame([], _FOUND)
         order = Window.partitionBy("query").orderBy(F.desc("cosine"), "id")
         for dimension, number in asked.groupBy("dimension").count().collect():
@@ -94,9 +93,16 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, id_column: str = "chunk
                 if not block.num_rows:
                     continue
                 told = spark.sparkContext.broadcast((block.column("id").to_numpy(), _matrix(block.to_batches()[0])))
-                part = stored.mapInArrow(_near_batches(told, k), _FOUND)
-                ranked = part.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+                ranked = part(told).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
                 found = found.union(copies.written_once(ranked.select(*found.columns), "near"))
                 told.destroy()
         ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         return written_once(ranked.select("query", "rank", "id", "cosine"), "nearest")
+
+
+def nearest(queries: DataFrame, rows: DataFrame, k: int, id_column: str = "chunk_id", vector: str = "embedding") -> DataFrame:
+    """query, rank (from 1), id and cosine of the k nearest rows of each query; both tables have the id and the vector."""
+    with staged(rows.sparkSession) as copies:
+        stored = copies.written_once(_usable(rows, id_column, vector), "vectors")
+        asked = _usable(queries, id_column, vector)
+        return in_blocks(asked, k, lambda told: stored.mapInArrow(_near_batches(told, k), _FOUND))

