@@ -27,6 +27,39 @@ def test_odd_documents(documents, clashing, no_documents, rows):
     assert tc.token_totals(no_documents).count() == 0
 
 
+def test_totals_after_each_batch(spark, rows):
+    made = [("a" if i % 3 else None, "en" if i % 2 else "de", i % tc.PARTS, i % 7, None if i == 5 else i % 11) for i in range(60)]
+    counts = spark.createDataFrame(made, "source string, lang string, part int, words long, pieces long")
+    rollup = tc.TokenRollup(spark, staging_path(spark, "rollup-test"))
+    held = {}
+    for name, batch in tc.history(counts):
+        for i, (_, _, part, n, pieces) in enumerate(made):
+            if name == f"arrivals/{part}":
+                held[i] = (n, n)
+            elif name == "revised" or (name == "restored" and part == tc.PARTS - 1):
+                held[i] = (n, pieces or 0)
+            elif name == "withdrawn" and part == tc.PARTS - 1:
+                del held[i]
+        assert rollup.commit(name, batch) and not rollup.commit(name, batch)
+        docs, tokens = Counter(), Counter()
+        for i, sizes in held.items():
+            for version, n in zip((tc.WORDS, tc.PIECES), sizes):
+                docs[(*made[i][:2], version)] += 1
+                tokens[(*made[i][:2], version)] += n
+        want = sorted(((*k, docs[k], tokens[k]) for k in docs), key=repr)
+        assert [r for r in rows(rollup.totals(), *COLUMNS) if r[3]] == want
+        if name == "withdrawn":
+            rollup.compact()
+            assert [r for r in rows(rollup.totals(), *COLUMNS) if r[3]] == want
+
+
+def test_asking_again_changes_nothing(spark, documents, rows):
+    folder = staging_path(spark, "rollup-test")
+    first = rows(tc.token_totals(documents, folder), *COLUMNS)
+    assert rows(tc.token_totals(documents, folder), *COLUMNS) == first == rows(tc.token_totals(documents), *COLUMNS)
+    assert len(tc.TokenRollup(spark, folder).batches()) == tc.PARTS + 3
+
+
 SCHEMA = "source string, lang string, tokenizer_version string, n_tokens long"
 
 

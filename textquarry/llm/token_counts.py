@@ -23,33 +23,30 @@ from pyspark.sql import functions as F
 
 from textquarry.llm.arrow_text import slices, words
 from textquarry.llm.pieces import unit_tokens
-from textquarry.sources.staging import delete_path, staging_path
+from textquarry.sources.staging import delete_path, staged, staging_path, written_once
 
 GROUPS = ("source", "lang", "tokenizer_version")
 SUMS = "source string, lang string, tokenizer_version string, documents bigint, tokens bigint"
 BASE = SUMS + ", batches array<string>"
-#: Versions of the counts that token_sizes gives.
+#: Versions of the counts: words between white space, and word pieces.
 WORDS, PIECES = "words-1", "word-bpe-49k-1"
+#: Batches in which documents arrive.
+PARTS = 4
 
 
-def token_sizes(docs: DataFrame, tokenizer_file: str | None = None) -> DataFrame:
-    """doc_id, source, lang, tokenizer_version and n_tokens of whole texts: words between white space, and word pieces."""
+def _counts(docs: DataFrame, tokenizer_file: str | None) -> DataFrame:
+    """source, lang, part, words and pieces of whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = batch.column("text")
-            kept = [batch.column(c) for c in ("doc_id", "source", "lang")]
-            for version, sizes in (
-                (WORDS, np.diff(words(texts).offsets)),
-                (PIECES, unit_tokens(tokenizer_file).sizes(texts)),
-            ):
-                columns = [*kept, pa.array([version] * batch.num_rows, pa.string()), pa.array(sizes, pa.int64())]
-                names = ["doc_id", "source", "lang", "tokenizer_version", "n_tokens"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            kept = [batch.column(c) for c in ("source", "lang", "part")]
+            sizes = [np.diff(words(texts).offsets), unit_tokens(tokenizer_file).sizes(texts)]
+            columns = [*kept, *(pa.array(x, pa.int64()) for x in sizes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["source", "lang", "part", "words", "pieces"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, source string, lang string, tokenizer_version string, n_tokens bigint"
-    return docs.select("doc_id", "source", "lang", "text").mapInArrow(run, schema)
+    schema = "source string, lang string, part int, words bigint, pieces bigint"
+    return docs.select("source", "lang", "part", "text").mapInArrow(run, schema)
 
 
 def changes(rows: DataFrame, operation: str, n_tokens: Column | str = "n_tokens", old: Column | None = None) -> DataFrame:
@@ -131,11 +128,44 @@ class TokenRollup:
             delete_path(self.spark, f"{self.folder}/{path}")
 
 
+def history(counts: DataFrame) -> list[tuple[str, DataFrame]]:
+    """Batches by name, in order, after which the totals are those of `counts` (source, lang, part, words, pieces).
+
+    The documents arrive in PARTS batches, with their words as preliminary counts of pieces, too; then the counts of pieces are
+    revised; then those of one part are withdrawn, and restored.
+    """
+
+    def version(rows: DataFrame, name: str) -> DataFrame:
+        return rows.withColumn("tokenizer_version", F.lit(name))
+
+    def both(rows: DataFrame, operation: str, pieces: str) -> DataFrame:
+        return changes(version(rows, WORDS), operation, "words").union(changes(version(rows, PIECES), operation, pieces))
+
+    arrivals = [(f"arrivals/{i}", both(counts.where(F.col("part") == i), "insert", "words")) for i in range(PARTS)]
+    revised = changes(version(counts, PIECES), "revise", "pieces", F.col("words"))
+    last = counts.where(F.col("part") == PARTS - 1)
+    changed = [("revised", revised), ("withdrawn", both(last, "delete", "pieces")), ("restored", both(last, "insert", "pieces"))]
+    return [*arrivals, *changed]
+
+
 def token_totals(docs: DataFrame, folder: str | None = None, tokenizer_file: str | None = None) -> DataFrame:
-    """Insert the counts of all documents as one batch, once also if asked again, and give the totals."""
+    """Totals of all documents, maintained through the batches of `history`, each committed twice, and compactions.
+
+    With a folder the rollup stays there, and asking again for the same documents changes nothing.
+    """
     spark = docs.sparkSession
     rollup = TokenRollup(spark, folder or staging_path(spark, "token-rollup"))
-    rows = changes(token_sizes(docs, tokenizer_file), "insert")
-    rollup.commit("documents", rows)
-    rollup.commit("documents", rows)
-    return rollup.totals()
+    try:
+        with staged(spark) as copies:
+            parted = docs.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(PARTS)).cast("int"))
+            counts = copies.written_once(_counts(parted, tokenizer_file), "token-counts")
+            for name, rows in history(counts):
+                rollup.commit(name, rows)
+                rollup.commit(name, rows)
+                if name == "revised":
+                    rollup.compact()
+        rollup.compact()
+        return rollup.totals() if folder else written_once(rollup.totals(), "token-totals")
+    finally:
+        if not folder:
+            delete_path(spark, rollup.folder)
