@@ -19,6 +19,11 @@ def test_odd_documents(documents, clashing, no_documents, rows):
     assert exact_duplicates(no_documents).count() == 0
 
 
+def test_index_is_dropped(spark, documents):
+    exact_duplicates(documents).count()
+    assert not [t.name for t in spark.catalog.listTables() if "textquarry_digests" in t.name]
+
+
 def test_later_batches_meet_the_index(spark):
     index = DigestIndex(spark, f"digests_{uuid.uuid4().hex}", buckets=3)
     first = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
@@ -29,4 +34,13 @@ def test_later_batches_meet_the_index(spark):
     for _ in range(2):
         assert {r["doc_id"]: (r["keep_id"], r["kept"]) for r in index.add(second, "y").collect()} == want
         assert index.rows().count() == 3
-    spark.sql(f"DROP TABLE {index.table}")
+    held = sorted(map(tuple, index.rows().collect()))
+    index.compact()
+    files = [f.rsplit("_", 1)[1] for f in index.rows().inputFiles()]
+    assert len(files) == len(set(files)) and sorted(map(tuple, index.rows().collect())) == held
+    assert {r["doc_id"]: (r["keep_id"], r["kept"]) for r in index.add(second, "y").collect()} == want
+    spark.sql(f"ALTER TABLE {index.table} RENAME TO {index.table}_next")  # as if the last step were missing
+    again = DigestIndex(spark, index.table, buckets=3)
+    assert sorted(map(tuple, again.rows().collect())) == held
+    again.drop()
+    assert not spark.catalog.tableExists(index.table)
