@@ -71,12 +71,81 @@ def test_permutation_is_one_to_one(spark):
         assert n < 100 or got != list(range(n))
 
 
+def drawn_slots(documents, shard_slots, seed=1):
+    plan = mixing.targets(mixing.placed(mixing.sized(documents)), block_words=16).cache()
+    counts = mixing.shard_counts(plan, shard_slots, seed).cache()
+    return plan, counts, mixing.slots(plan, counts, 16, seed)
+
+
 def test_shards_divide_all_slots(documents):
-    plan = mixing.targets(mixing.sized(documents), block_words=16)
-    drawn = mixing.slots(plan, 16, shard_slots=64)
-    counts = mixing.shard_counts(drawn).collect()
-    assert sum(r["slots"] for r in counts) == plan.agg(F.sum("slots")).first()[0]
-    assert len({r["shard"] for r in counts}) > 1
+    plan, counts, drawn = drawn_slots(documents, 64)
+    assert counts.agg(F.countDistinct("shard")).first()[0] > 1
+    got = defaultdict(list)
+    for r in drawn.collect():
+        got[r["source_key"]].append(r)
+    want = {r["source_key"]: r for r in plan.collect() if r["slots"]}
+    assert got.keys() == want.keys()
+    for key, rows in got.items():
+        rows.sort(key=lambda r: r["slot"])
+        assert [r["slot"] for r in rows] == list(range(want[key]["slots"]))
+        assert [r["shard"] for r in rows] == sorted(r["shard"] for r in rows)
+        # An epoch takes each block once.
+        blocks = [(r["epoch"], r["block"]) for r in rows]
+        assert len(set(blocks)) == len(blocks)
+    held = {(r["shard"], r["source_key"]): r["slots"] for r in counts.collect()}
+    assert held == {(r["shard"], r["source_key"]): r["count"] for r in drawn.groupBy("shard", "source_key").count().collect()}
+
+
+def test_counts_are_a_multinomial_draw(spark):
+    """Chi-square of the counts of each source over the shards, for several seeds, and of shards over the sources."""
+    plan = spark.createDataFrame([("a", 40_000), ("b", 16_000), ("c", 8_000)], "source_key string, slots long")
+    total, seen = 64_000, set()
+    for seed in range(1, 5):
+        counts = {(r["shard"], r["source_key"]): r["slots"] for r in mixing.shard_counts(plan, 1000, seed).collect()}
+        assert counts == {(r["shard"], r["source_key"]): r["slots"] for r in mixing.shard_counts(plan, 1000, seed).collect()}
+        seen.add(tuple(sorted(counts.items())))
+        shards = range(64)
+        for key, slots in (("a", 40_000), ("b", 16_000), ("c", 8_000)):
+            assert sum(counts.get((s, key), 0) for s in shards) == slots
+            chi = sum((counts.get((s, key), 0) - slots / 64) ** 2 / (slots / 64) for s in shards)
+            # 63 degrees of freedom: the middle 99.99 of 100.
+            assert 29 < chi < 116
+        size = {s: sum(counts.get((s, k), 0) for k in "abc") for s in shards}
+        chi = sum(
+            (counts.get((s, k), 0) - size[s] * n / total) ** 2 / (size[s] * n / total)
+            for s in shards
+            for k, n in (("a", 40_000), ("b", 16_000), ("c", 8_000))
+        )
+        # 126 degrees of freedom.
+        assert 75 < chi < 200
+    assert len(seen) == 4
+
+
+def test_shards_hold_the_words_of_their_blocks(documents):
+    """Which words are taken, against words laid end to end and cut by hand."""
+    places = mixing.placed(mixing.sized(documents)).cache()
+    plan, counts, drawn = drawn_slots(documents, 64)
+    lines = defaultdict(list)
+    for r in sorted(places.collect(), key=lambda r: r["start"]):
+        lines[r["source_key"]] += [(r["start"], i) for i in range(r["size"])]
+    length = {(r["source_key"], r["slot"]): r["taken_words"] for r in drawn.collect()}
+    rows = mixing.packed(mixing.segments(places, 16), drawn).collect()
+    assert len(rows) == len(length)
+    for r in rows:
+        words = [(p["start"], p["offset"] + i) for p in r["pieces"] for i in range(p["words"])]
+        begin = r["block"] * 16
+        assert words == lines[r["source_key"]][begin : begin + length[r["source_key"], r["slot"]]]
+
+
+def test_nothing_but_the_mix_is_left(spark, documents):
+    from pathlib import Path
+
+    from textquarry.sources.staging import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("textquarry-*"))
+    mixing.mixed_words(documents, block_words=16, shard_slots=64).collect()
+    assert [p.name.split("-")[1] for p in set(folder.glob("textquarry-*")) - before] == ["mix"]
 
 
 def test_texts_hold_the_words_taken(documents):

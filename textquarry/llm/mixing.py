@@ -1,13 +1,15 @@
 """Mixing sources to target weights with column expressions alone.
 
 The words of a source's documents lie end to end and are packed into blocks of `block_words`. Each source gets as
-many output slots as its target needs; every slot is thrown into one output shard, so that the counts of a source
-over the shards are a multinomial draw, and those of a shard over the sources are one given the shard's size. Slot j of a source takes block p(j) of
-the source, p being a pseudorandom permutation of its block numbers; beyond the last block the next epoch begins.
-Slots and blocks meet in a join on source and block number. The last slot of a source is cut, so that the words
-taken are the target, rounded.
-
-Nothing is gathered by source: positions are prefix sums over buckets of about the square root of all rows, and
+many output slots as its target needs. How many of them an output shard gets is drawn: every slot is thrown into a shard, so
+the counts of a source over the shards are multinomial, and those of a shard over the sources too, given its size and the
+sources' totals. The counts alone go on. Prefix sums over the shards give each shard a run of slot numbers of each source. Slot j of a source
+takes block p(j) of the source, p being a pseudorandom permutation of its block numbers; beyond the last block the next
+epoch begins. Slots and blocks meet in a join on source and block number. The last slot of a source is cut, so that the
+words taken are the target, rounded. The shards are written, a row per slot with the pieces of documents packed
+in its block, and what the mix takes of a document is counted from these files.
+
+Nothing is gathered by source: positions and slot numbers are prefix sums over buckets of about the square root of all rows, and
 blocks spread evenly, also if one source or one document holds most words.
 
 Defined cases: a null text has no words; a document without words is taken 0 times; null sources are one source,
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textquarry.sources.staging import written_once
+from textquarry.sources.staging import staged, written_once
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A word with the white space before it.
@@ -151,23 +153,56 @@ def permuted(x: Column, n: Column, key: Column, seed: int) -> Column:
     )
 
 
-def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 1) -> DataFrame:
-    """A row per output slot: shard, position in it, source_key, block, epoch and the words taken of the block.
+def shard_counts(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 1) -> DataFrame:
+    """The draw: shard, source_key and how many slots of the source the shard gets; rows of 0 are left out.
 
-    plan: rows of targets(). The short last block of a source is the last of each epoch.
+    plan: rows of targets(). Shards have `shard_slots` slots in expectation; slots are counted per task before any shuffle.
     """
     total = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_slots))
     runs = plan.filter("slots > 0").select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / _RUN))).alias("run")
+        "source_key", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / _RUN))).alias("run")
     )
     spread = runs.repartition(max(1, -(-total // _RUN)), "source_key", "run")
     first = F.col("run") * _RUN
-    each = spread.select("*", F.explode(F.sequence(first, F.least(first + _RUN, F.col("slots")) - 1)).alias("slot"))
+    each = spread.select("source_key", F.explode(F.sequence(first, F.least(first + _RUN, F.col("slots")) - 1)).alias("slot"))
+    thrown = F.pmod(F.xxhash64("source_key", "slot", F.lit(seed)), F.lit(shards))
+    return each.groupBy(thrown.alias("shard"), "source_key").agg(F.count(F.lit(1)).alias("slots"))
+
+
+def numbered(counts: DataFrame) -> DataFrame:
+    """Adds first: the slots of the source in all shards before this one. counts is read twice."""
+    shards = counts.agg(F.coalesce(F.max("shard"), F.lit(0))).first()[0] + 1
+    grouped = counts.withColumn("group", F.floor(F.col("shard") / max(1, int(shards**0.5))))
+    before = Window.unboundedPreceding
+    inside = Window.partitionBy("source_key", "group").orderBy("shard").rowsBetween(before, -1)
+    over = Window.partitionBy("source_key").orderBy("group").rowsBetween(before, -1)
+    offsets = (
+        grouped.groupBy("source_key", "group")
+        .agg(F.sum("slots").alias("in_group"))
+        .withColumn("offset", F.coalesce(F.sum("in_group").over(over), F.lit(0)))
+        .drop("in_group")
+    )
+    within = grouped.withColumn("within", F.coalesce(F.sum("slots").over(inside), F.lit(0)))
+    return within.join(offsets, ["source_key", "group"]).select(
+        "shard", "source_key", F.col("slots").alias("drawn"), (F.col("offset") + F.col("within")).alias("first")
+    )
+
+
+def slots(plan: DataFrame, counts: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 1) -> DataFrame:
+    """A row per output slot: shard, position, source_key, slot, epoch, block and the words taken of the block.
+
+    plan: rows of targets(); counts: those of shard_counts(), written once. By position the slots of a shard are in random
+    order. The short last block of a source is the last of each epoch.
+    """
+    total = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    drawn = numbered(counts).repartition(max(1, -(-total // _RUN)), "source_key", "shard")
+    by_source = F.broadcast(plan) if _small(plan) else plan
+    numbers = F.sequence("first", F.col("first") + F.col("drawn") - 1)
+    each = drawn.join(by_source, "source_key").select("*", F.explode(numbers).alias("slot"))
     inside = F.col("slot") % F.col("blocks")
     short = F.col("source_size") - F.col("full_blocks") * block_words
     length = F.when(F.col("block") < F.col("full_blocks"), block_words).otherwise(short)
-    thrown = F.xxhash64("source_key", "slot", F.lit(seed))
     return (
         each.withColumn("epoch", F.floor(F.col("slot") / F.col("blocks")))
         .withColumn(
@@ -178,17 +213,11 @@ def slots(plan: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SH
             ).otherwise(inside),
         )
         .withColumn("taken_words", F.when(F.col("slot") == F.col("slots") - 1, F.coalesce("cut", length)).otherwise(length))
-        .withColumn("shard", F.pmod(thrown, F.lit(shards)))
         .withColumn("position", F.xxhash64("shard", "source_key", "slot"))
         .select("shard", "position", "source_key", "slot", "epoch", "block", F.col("taken_words").cast("long"))
     )
 
 
-def shard_counts(drawn: DataFrame) -> DataFrame:
-    """The draw: slots of each source in each shard."""
-    return drawn.groupBy("shard", "source_key").agg(F.count(F.lit(1)).alias("slots"))
-
-
 def segments(places: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """A row per document and block that it has words in; first: the word of the block at which it begins there."""
     end = F.col("start") + F.col("size")
@@ -210,33 +239,59 @@ def taken(parts: DataFrame, drawn: DataFrame) -> DataFrame:
     return parts.join(drawn.hint("merge"), ["source_key", "block"]).withColumn("words", words).filter("words > 0")
 
 
+def packed(parts: DataFrame, drawn: DataFrame) -> DataFrame:
+    """The shards: a row per slot, and in it the pieces of documents that its block holds, in their order.
+
+    parts: rows of segments(); drawn: those of slots(). A block holds at most as many pieces as words. A piece names its
+    document, the place where that begins in its source, the word it begins with and how many words it has.
+    """
+    pieces = F.struct("first", "doc_id", "start", "offset", (F.col("last") - F.col("first")).alias("words"))
+    blocks = parts.groupBy("source_key", "block").agg(F.sort_array(F.collect_list(pieces)).alias("pieces"))
+
+    def cut(p: Column) -> Column:
+        words = F.least(p.words, F.col("taken_words") - p["first"])
+        return F.struct(p.doc_id.alias("doc_id"), p.start.alias("start"), p.offset.alias("offset"), words.alias("words"))
+
+    held = F.transform(F.filter("pieces", lambda p: p["first"] < F.col("taken_words")), cut)
+    # Estimates do not see how many slots a source has, and would have them broadcast.
+    return (
+        blocks.join(drawn.hint("merge"), ["source_key", "block"])
+        .select("shard", "position", "source_key", "slot", "epoch", "block", held.alias("pieces"))
+        .repartition("shard")
+        .sortWithinPartitions("shard", "position")
+    )
+
+
 def mixed_words(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
     share: float = SHARE,
     most: float = MOST,
     block_words: int = BLOCK_WORDS,
+    shard_slots: int = SHARD_SLOTS,
     seed: int = 1,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken: the words that the mix takes of each document."""
-    places = written_once(placed(written_once(sized(docs), "sizes")), "places")
-    plan = written_once(targets(places, weights, share, most, block_words), "targets")
-    drawn = slots(plan, block_words, seed=seed).groupBy("source_key", "block", "taken_words").agg(
-        F.count(F.lit(1)).alias("times")
-    )
-    sums = (
-        taken(segments(places, block_words), drawn)
-        .groupBy("source_key", "start")
-        .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-        .withColumn("size_key", F.lit(True))
-    )
-    by_source = plan.select("source_key", "source_size", "target")
-    return (
-        places.withColumn("size_key", F.col("size") > 0)
-        .join(sums.hint("merge"), ["source_key", "start", "size_key"], "left")
-        .join(F.broadcast(by_source) if _small(by_source) else by_source, "source_key")
-        .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
-    )
+    """doc_id, source, size, source_size, target and taken: the words that the written shards hold of each document."""
+    with staged(docs.sparkSession) as copies:
+        places = copies.written_once(placed(copies.written_once(sized(docs), "sizes")), "places")
+        plan = copies.written_once(targets(places, weights, share, most, block_words), "targets")
+        counts = copies.written_once(shard_counts(plan, shard_slots, seed), "draws")
+        drawn = slots(plan, counts, block_words, seed)
+        shards = copies.written_once(packed(segments(places, block_words), drawn), "shards")
+        sums = (
+            shards.select("source_key", F.explode("pieces").alias("piece"))
+            .groupBy("source_key", "piece.start")
+            .agg(F.sum("piece.words").alias("taken"))
+            .withColumn("size_key", F.lit(True))
+        )
+        by_source = plan.select("source_key", "source_size", "target")
+        mix = (
+            places.withColumn("size_key", F.col("size") > 0)
+            .join(sums.hint("merge"), ["source_key", "start", "size_key"], "left")
+            .join(F.broadcast(by_source) if _small(by_source) else by_source, "source_key")
+            .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        )
+        return written_once(mix, "mix")
 
 
 def _small(by_source: DataFrame) -> bool:
@@ -262,8 +317,9 @@ def mixed_texts(
     keyed = docs.select("doc_id", "source", "text", F.struct(*columns).alias("_doc"), F.xxhash64(*columns).alias("_row"))
     places = written_once(placed(written_once(sized(keyed, "_row"), "sizes")), "places")
     plan = written_once(targets(places, weights, share, most, block_words), "targets")
+    counts = written_once(shard_counts(plan, seed=seed), "draws")
     cuts = (
-        taken(segments(places, block_words), slots(plan, block_words, seed=seed))
+        taken(segments(places, block_words), slots(plan, counts, block_words, seed))
         .groupBy("source_key", "start", "doc_id", "_row", "size", "epoch")
         .agg(F.sort_array(F.collect_list(F.struct("offset", "words"))).alias("cuts"), F.sum("words").alias("words"))
         .withColumnRenamed("doc_id", "_doc_id")
