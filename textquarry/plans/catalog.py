@@ -20,13 +20,14 @@ from ..operators import chunk as C
 from ..operators import embed as E
 from ..operators import html as H
 from ..operators import pdf_layout as P
-from ..operators import vector_search
+from ..operators import ordered_joins, vector_search
 from ..operators.metadata_search import MetadataIndex
 from ..operators.vector_graph import VectorGraphs
 from ..schemas import METADATA
 from ..sources import chunk_table, files, jsonl
 from ..sources.files import spread
 from ..sources.staging import shared_folder
+from ..streaming import windows
 from .ingest import chunk_batches, load_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -731,3 +732,61 @@ def i1_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return store.read().select(
         "chunk_id", "document_id", "content", format_vector(F.col("embedding")).alias("vector"), "metadata"
     )
+
+
+# ---------------------------------------------------------------- joins by order, windows over event times
+
+
+def event_times(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "ts")
+
+
+def _moment(column: str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+@query
+def j1_asof_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event with its user's newest click that is not later."""
+    events = event_times(spark, folder)
+    clicks = events.where("event_type = 'click'")
+    joined = ordered_joins.asof_join(events, clicks, "user_id", "ts", "event_id")
+    return joined.select("event_id", "user_id", F.col("match.event_id").alias("click_id"), F.col("match.value").alias("click_value"))
+
+
+@query
+def j2_overlapping_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """The words that reach into each region of a page: from the top of a line of headings to 90 below it."""
+    page = F.concat_ws("/", "doc_id", "page_no").alias("page")
+    words = page_words(spark, folder).select(page, "word_idx", F.col("top").alias("low"), F.col("bottom").alias("high"), "size")
+    regions = words.where("size = 14").select("page", "low", (F.col("low") + 90).alias("high")).distinct()
+    pairs = ordered_joins.overlapping(regions, words, "page", "low", "high", 16)
+    return pairs.groupBy(F.col("a.page").alias("page"), F.col("a.low").alias("low")).agg(
+        F.count(F.lit(1)).alias("words"), F.sum("b.word_idx").cast("long").alias("places")
+    )
+
+
+@query
+def w1_sliding_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of each kind within six hours, every two hours."""
+    found = windows.sliding(
+        event_times(spark, folder), "event_type", "ts", "6 hours", "2 hours", F.count(F.lit(1)).alias("events"), F.max("value").alias("highest")
+    )
+    return found.withColumns({c: _moment(c) for c in ("window_start", "window_end")})
+
+
+@query
+def w2_stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Each user's sessions by pauses of six hours, from a stream over the table that ends."""
+    path = f"{shared_folder(spark)}/textquarry-sessions-{uuid.uuid4().hex}"
+    kind = "event_id bigint, user_id bigint, event_type string, value double, ts timestamp_ntz"
+    measures = F.count(F.lit(1)).alias("events"), F.min("event_id").alias("first_id"), F.max("value").alias("highest")
+    event_times(spark, folder).write.parquet(f"{path}/inbox")
+    for last in (False, True):
+        if last:
+            windows.close_sessions(spark, f"{path}/inbox", kind, "ts", "2200-01-01 00:00:00")
+        windows.write_sessions(
+            spark, f"{path}/inbox", kind, f"{path}/sessions", f"{path}/state", "user_id", "ts", "6 hours", "1 hour", *measures
+        )
+    found = spark.read.parquet(f"{path}/sessions")
+    return found.withColumns({c: _moment(c) for c in ("session_start", "session_end")})

@@ -492,3 +492,30 @@ _sql(
     f"""SELECT chunk_id, document_id, content, {_VECTOR} AS vector, {_METADATA} AS metadata
         FROM (SELECT *, {_LOST} AS lost FROM ({_PAGE_CHUNKS})) WHERE NOT lost""",
 )
+_sql(
+    "j1_asof_join",
+    """SELECT e.event_id, e.user_id, c.event_id AS click_id, c.value AS click_value FROM events e
+       ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1) c
+       ON e.user_id = c.user_id AND e.ts >= c.ts""",
+)
+_MOMENT = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
+_sql(
+    "w1_sliding_windows",
+    f"""WITH starts AS (SELECT *, time_bucket(INTERVAL 2 HOUR, ts, TIMESTAMP '1970-01-01') - n * INTERVAL 2 HOUR AS w FROM events, range(3) r(n))
+        SELECT event_type, {_MOMENT.format("w")} AS window_start, {_MOMENT.format("w + INTERVAL 6 HOUR")} AS window_end,
+               count(*) AS events, max(value) AS highest FROM starts GROUP BY event_type, w""",
+)
+_sql(
+    "w2_stream_sessions",
+    f"""WITH marked AS (SELECT *, ts - lag(ts) OVER w <= INTERVAL 6 HOUR AS goes_on FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+        numbered AS (SELECT *, count_if(goes_on IS NOT TRUE) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM marked)
+        SELECT user_id, {_MOMENT.format("min(ts)")} AS session_start, {_MOMENT.format("max(ts) + INTERVAL 6 HOUR")} AS session_end,
+               count(*) AS events, min(event_id) AS first_id, max(value) AS highest FROM numbered GROUP BY user_id, n""",
+)
+_sql(
+    "j2_overlapping_intervals",
+    f"""WITH words AS ({_WORDS}), placed AS (SELECT doc_id || '/' || page_no AS page, word_idx, "top" AS low, bottom AS high, size FROM words),
+        regions AS (SELECT DISTINCT page, low, low + 90 AS high FROM placed WHERE size = 14)
+        SELECT r.page, r.low, count(*) AS words, CAST(sum(w.word_idx) AS BIGINT) AS places
+        FROM regions r JOIN placed w ON w.page = r.page AND w.low <= r.high AND r.low <= w.high GROUP BY r.page, r.low""",
+)
