@@ -27,7 +27,7 @@ from ..schemas import METADATA
 from ..sources import chunk_table, files, jsonl
 from ..sources.files import spread
 from ..sources.staging import shared_folder
-from ..streaming import windows
+from ..streaming import newest, windows
 from .ingest import chunk_batches, load_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -790,3 +790,15 @@ def w2_stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
         )
     found = spark.read.parquet(f"{path}/sessions")
     return found.withColumns({c: _moment(c) for c in ("session_start", "session_end")})
+
+
+@query
+def w3_newest_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Each user's event with the largest number, by a stream in two runs; in either, events come in no order."""
+    path = f"{shared_folder(spark)}/textquarry-newest-{uuid.uuid4().hex}"
+    kind = "event_id bigint, user_id bigint, event_type string, value double"
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    for part in (0, 1):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part).write.mode("append").parquet(f"{path}/inbox")
+        newest.newest_versions(spark, f"{path}/inbox", kind, f"{path}/newest", f"{path}/state", "user_id", "event_id")
+    return newest.current(spark, f"{path}/newest", kind, "user_id", "event_id")

@@ -519,3 +519,8 @@ _sql(
         SELECT r.page, r.low, count(*) AS words, CAST(sum(w.word_idx) AS BIGINT) AS places
         FROM regions r JOIN placed w ON w.page = r.page AND w.low <= r.high AND r.low <= w.high GROUP BY r.page, r.low""",
 )
+_sql(
+    "w3_newest_versions",
+    """SELECT user_id, event_id, event_type, value FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
+)
