@@ -78,18 +78,21 @@ def overlapping(left: DataFrame, right: DataFrame, by: str, start: str, end: str
 
     a, b = placed(left, "a"), placed(right, "b")
     # As many numbers as lengths have powers of two: 2,100 for any doubles.
-    levels = sorted(r[0] for r in a.select("_own").union(b.select("_own")).distinct().collect())
-    listed = F.array(*(F.lit(x) for x in levels)).cast("array<int>")
+    of_a, of_b = (
+        F.array(*(F.lit(x) for x in sorted(r[0] for r in df.select("_own").distinct().collect()))).cast("array<int>") for df in (a, b)
+    )
 
     def own(df: DataFrame) -> DataFrame:
         return df.withColumn("_level", F.col("_own"))
 
-    def above(df: DataFrame) -> DataFrame:
-        return df.withColumn("_level", F.explode(F.filter(listed, lambda x: x > F.col("_own"))))
+    # Only to levels where the other side has intervals of its own.
+    def above(df: DataFrame, levels: Column) -> DataFrame:
+        return df.withColumn("_level", F.explode(F.filter(levels, lambda x: x > F.col("_own"))))
 
     def pairs(x: DataFrame, y: DataFrame) -> DataFrame:
         met = cells(x, "a").join(cells(y, "b"), ["_key", "_level", "_cell"])
         overlap = (F.col("_a_start") <= F.col("_b_end")) & (F.col("_b_start") <= F.col("_a_end"))
         return met.where(overlap & (cell(F.greatest("_a_start", "_b_start")) == F.col("_cell"))).select("a", "b")
 
-    return pairs(own(a), own(b).union(above(b))).union(pairs(above(a), own(b)))
+    met_by_a = own(b).where(F.array_contains(of_a, F.col("_level"))).union(above(b, of_a))
+    return pairs(own(a), met_by_a).union(pairs(above(a, of_b), own(b)))
