@@ -64,3 +64,16 @@ def test_overlaps_are_those_of_all_pairs(spark, width):
     )
     empty = spark.createDataFrame([], kind)
     assert ordered_joins.overlapping(empty, empty, "k", "low", "high").collect() == []
+
+
+def test_overlaps_move_only_what_is_asked_for(spark):
+    long = spark.range(20).selectExpr("'k' AS k", "CAST(id AS double) AS low", "id + 90.0D AS high", "id AS unasked")
+    short = spark.range(20).selectExpr("'k' AS k", "CAST(id AS double) AS low", "id + 1.0D AS high", "id AS number")
+    out = ordered_joins.overlapping(long, short, "k", "low", "high", 1)
+    assert out.columns == ["a", "b"] and out.select("a.*").columns == ["k", "low", "high", "unasked"]
+    plan = out.select("b.number")._jdf.queryExecution().executedPlan().toString()
+    # long ones meet short ones at the long ones' level only, and words on a page are more than estimates say
+    assert plan.count("SortMergeJoin") == 1 and "Broadcast" not in plan
+    moved = [line for line in out.select("b.number")._jdf.queryExecution().optimizedPlan().toString().splitlines() if "unasked" in line]
+    assert moved == []
+    assert out.count() == sum(x <= y + 1 and y <= x + 90 for x in range(20) for y in range(20))

@@ -61,12 +61,14 @@ def overlapping(left: DataFrame, right: DataFrame, by: str, start: str, end: str
         low, high = F.col(start).cast("double"), F.col(end).cast("double")
         usable = F.col(by).isNotNull() & (F.abs(low) < float("inf")) & (F.abs(high) < float("inf")) & (F.col(start) <= F.col(end))
         level = F.greatest(F.lit(0), F.ceil(F.log2((high - low) / width))).cast("int")
-        return df.where(usable).select(
+        # Columns lie side by side until the pairs are found: those that nobody asks for are not moved. A filter would be pushed
+        # below what computes the ends, which is then computed many times; a row without a level gets no cell instead.
+        return df.select(
             F.col(by).alias("_key"),
-            F.coalesce(F.when(high > low, level), F.lit(0)).alias("_own"),
+            F.when(usable, F.coalesce(F.when(high > low, level), F.lit(0))).alias("_own"),
             F.col(start).alias(f"_{name}_start"),
             F.col(end).alias(f"_{name}_end"),
-            F.struct(*df.columns).alias(name),
+            *(F.col(c).alias(f"_{name}_{i}") for i, c in enumerate(df.columns)),
         )
 
     def cell(of: Column) -> Column:
@@ -78,21 +80,31 @@ def overlapping(left: DataFrame, right: DataFrame, by: str, start: str, end: str
 
     a, b = placed(left, "a"), placed(right, "b")
     # As many numbers as lengths have powers of two: 2,100 for any doubles.
-    of_a, of_b = (
-        F.array(*(F.lit(x) for x in sorted(r[0] for r in df.select("_own").distinct().collect()))).cast("array<int>") for df in (a, b)
-    )
+    owned = a.select(F.lit("a").alias("side"), "_own").union(b.select(F.lit("b").alias("side"), "_own")).distinct().collect()
+    of_a, of_b = (sorted(r["_own"] for r in owned if r["side"] == side and r["_own"] is not None) for side in "ab")
 
-    def own(df: DataFrame) -> DataFrame:
-        return df.withColumn("_level", F.col("_own"))
+    def own(df: DataFrame, levels: list[int] | None = None) -> DataFrame:
+        meets = F.col("_own").isNotNull() if levels is None else F.col("_own").isin(levels)
+        return df.withColumn("_level", F.explode(F.when(meets, F.array("_own"))))
 
     # Only to levels where the other side has intervals of its own.
-    def above(df: DataFrame, levels: Column) -> DataFrame:
+    def above(df: DataFrame, levels: list[int]) -> DataFrame:
+        levels = F.array(*map(F.lit, levels)).cast("array<int>")
         return df.withColumn("_level", F.explode(F.filter(levels, lambda x: x > F.col("_own"))))
 
+    def struct(df: DataFrame, name: str) -> Column:
+        return F.struct(*(F.col(f"_{name}_{i}").alias(c) for i, c in enumerate(df.columns))).alias(name)
+
     def pairs(x: DataFrame, y: DataFrame) -> DataFrame:
-        met = cells(x, "a").join(cells(y, "b"), ["_key", "_level", "_cell"])
+        # Estimates do not see what was exploded on the way: they are too low to broadcast a side on.
+        met = cells(x, "a").join(cells(y, "b").hint("merge"), ["_key", "_level", "_cell"])
         overlap = (F.col("_a_start") <= F.col("_b_end")) & (F.col("_b_start") <= F.col("_a_end"))
-        return met.where(overlap & (cell(F.greatest("_a_start", "_b_start")) == F.col("_cell"))).select("a", "b")
-
-    met_by_a = own(b).where(F.array_contains(of_a, F.col("_level"))).union(above(b, of_a))
-    return pairs(own(a), met_by_a).union(pairs(above(a, of_b), own(b)))
+        return met.where(overlap & (cell(F.greatest("_a_start", "_b_start")) == F.col("_cell"))).select(struct(left, "a"), struct(right, "b"))
+
+    # What has no level to meet at is not read again.
+    met_by_a = above(b, of_a)
+    if set(of_a) & set(of_b):
+        met_by_a = met_by_a.union(own(b, of_a))
+    found = pairs(own(a), met_by_a)
+    longer = [x for x in of_b if x > min(of_a, default=x)]
+    return found.union(pairs(above(a, longer), own(b, longer))) if longer else found
