@@ -39,3 +39,9 @@ def test_query(spark, db, name):
     assert sorted(columns) == sorted(frame.columns)
     assert got
     assert digest(frame.columns, got) == digest(columns, answer.fetchall())
+
+
+def test_page_fallback_filters_columns_that_are_computed_already(spark):
+    plan = QUERIES["s4_page_fallback"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert filters and not any("% 240" in line for line in filters)

@@ -9,7 +9,7 @@ from functools import cache
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +55,15 @@ def lstrip(c: Column) -> Column:
     return F.ltrim(c, F.lit(WHITESPACE))
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, their columns computed before anything that follows.
+
+    For columns of long expressions: a filter on them is else pushed below them, with all they are made of written out at each
+    use, and methods made of that are too large for the JVM to compile.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def first_line(c: Column) -> Column:
     return F.regexp_extract(c, rf"\A[^{LB}]*", 0)
 

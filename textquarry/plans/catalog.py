@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.providers import DigestEmbedder, DigestTitles
-from ..functions.text import nfkc, strip, universal_newlines
+from ..functions.text import computed_once, nfkc, strip, universal_newlines
 from ..functions.vectors import format_vector, parse_vector
 from ..operators import chunk as C
 from ..operators import embed as E
@@ -116,7 +116,7 @@ def s4_page_fallback(spark: SparkSession, folder: str) -> DataFrame:
     plain = F.array_join(F.slice("tokens", (F.col("page_no") - 1) * 240 + 1, F.lit(240)), " ")
     pages = spread(table(spark, folder, "documents")).select("doc_id", tokens.alias("tokens")).select("*", numbers)
     fallback = pages.select(*P.PAGE, F.concat(F.lit(" "), plain, F.lit("\n")).alias("fallback_text"))
-    return P.with_page_fallback(P.page_texts(P.laid_out_lines(words)), fallback)
+    return P.with_page_fallback(P.page_texts(P.laid_out_lines(computed_once(words))), fallback)
 
 
 @query
@@ -174,7 +174,7 @@ def k1_clean_texts(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/textquarry-texts-{uuid.uuid4().hex}"
     docs = table(spark, folder, "documents").select(F.lpad("doc_id", 12, "0").alias("document_id"), F.col("text").alias("clean_text"))
     jsonl.write_clean_texts(docs, path)
-    return files.read_clean_texts(spark, f"{path}/*/*.txt").select("document_id", strip(F.col("clean_text")).alias("clean_text"))
+    return files.read_clean_texts(spark, path).select("document_id", strip(F.col("clean_text")).alias("clean_text"))
 
 
 @query
