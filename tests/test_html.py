@@ -1,11 +1,13 @@
 import random
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from textquarry.functions import text as functions
-from textquarry.operators.html import BlockLister, clean_html
+from textquarry.operators.html import BlockLister, _list_blocks, clean_html
 
 CASES = {
     "order": ("<body><h3>Boats</h3><p>Oars and <b>sails</b></p><h2>Harbour</h2><p>Ropes</p></body>", "### Boats\n\nOars and sails\n\n## Harbour\n\nRopes"),
@@ -53,3 +55,17 @@ def test_nfkc(spark, monkeypatch, text, in_jvm):
     monkeypatch.setattr(functions, "_icu_within_reach", lambda: in_jvm)
     got = spark.createDataFrame([(text,)], "t string").select(functions.nfkc(F.col("t"))).first()[0]
     assert got == unicodedata.normalize("NFKC", text)
+
+
+def test_blocks_of_a_batch_are_not_all_python_objects_at_once(monkeypatch):
+    monkeypatch.setattr("textquarry.operators.html.SLICE_CHARS", 10_000)
+    page = "<body>" + "<p>word</p>" * 500 + "</body>"
+    pages = [page, None, "", *[page] * 100]
+    tracemalloc.start()
+    listed = _list_blocks(pa.array(pages))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 << 20
+    assert len(listed) == len(pages) and listed[1].as_py() is None and listed[2].as_py()["blocks"] == []
+    assert all(listed[i].as_py() == BlockLister().result(page) for i in (0, 3, 102))
+    assert len(_list_blocks(pa.array([], pa.string()))) == 0

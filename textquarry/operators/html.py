@@ -27,6 +27,7 @@ VOID_TAGS = {
 }
 CONTAINER_TAGS = {"div", "section", "article", "main", "body"}
 HEADING_TAGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+SLICE_CHARS = 1 << 20
 NOT_INLINE_TAGS = {"ul", "ol", "table"}
 BLOCK_TAGS = {"p", "pre", "blockquote", "a"} | NOT_INLINE_TAGS | HEADING_TAGS
 
@@ -238,8 +239,16 @@ class BlockLister(HTMLParser):
 
 
 def _list_blocks(pages: pa.Array) -> pa.Array:
-    found = [None if h is None else BlockLister().result(h) for h in pages.to_pylist()]
-    return pa.array(found, type=_ARROW_PAGE)
+    """Blocks as Python objects take many times the bytes of their pages, so they are made for about SLICE_CHARS at once."""
+    parts, found, chars = [], [], 0
+    for page in pages:
+        html = page.as_py()
+        found.append(None if html is None else BlockLister().result(html))
+        chars += len(html or "")
+        if chars >= SLICE_CHARS:
+            parts.append(pa.array(found, type=_ARROW_PAGE))
+            found, chars = [], 0
+    return pa.concat_arrays([*parts, pa.array(found, type=_ARROW_PAGE)])
 
 
 _ARROW_ROW = pa.struct([("head", pa.bool_()), ("cells", pa.list_(pa.string()))])
