@@ -61,8 +61,9 @@ def test_blocks_of_a_batch_are_not_all_python_objects_at_once(monkeypatch):
     monkeypatch.setattr("textquarry.operators.html.SLICE_CHARS", 10_000)
     page = "<body>" + "<p>word</p>" * 500 + "</body>"
     pages = [page, None, "", *[page] * 100]
+    batch = pa.array(pages)
     tracemalloc.start()
-    listed = _list_blocks(pa.array(pages))
+    listed = _list_blocks(batch)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 5 << 20
