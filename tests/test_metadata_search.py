@@ -58,3 +58,21 @@ def test_search_finds_what_a_slow_one_finds(spark, tmp_path, monkeypatch, bits):
     assert sorted(map(repr, ((r.pattern, r.id) for r in index.search(asked).collect()))) == sorted(map(repr, want))
     assert index.search(asked.limit(0)).count() == 0
     assert M.MetadataIndex(spark, str(tmp_path / "none")).build(stored.limit(0)).search(asked).count() == 0
+
+
+def test_a_rare_value_spares_the_lists_of_frequent_ones(spark, tmp_path, monkeypatch):
+    rows = spark.range(600).selectExpr("CONCAT('c', id) AS chunk_id", """CONCAT('{"kind":"x","half":', id % 2, ',"id":', id, '}') AS metadata""")
+    index = M.MetadataIndex(spark, str(tmp_path / "index")).build(rows)
+    rare = spark.createDataFrame([('{"kind":"x","id":7}',), ('{"kind":"x","id":8,"half":1}',), ('{"kind":"x","id":-1}',)], "pattern string")
+    frequent = spark.createDataFrame([('{"kind":"x","half":1}',), ('{"kind":"y","half":1}',)], "pattern string")
+    with monkeypatch.context() as m:
+        m.setattr(M, "DIRECT", 0)  # all lists are intersected
+        assert [r.id for r in index.search(rare).collect()] == ["c7"]
+        found = sorted(r.id for r in index.search(frequent).collect())
+    assert found == sorted(f"c{i}" for i in range(1, 600, 2)) == sorted(r.id for r in index.search(frequent).collect())
+
+    def never(lists):
+        raise AssertionError("frequent values' lists were read")
+
+    monkeypatch.setattr(M, "_intersected", never)
+    assert [r.id for r in index.search(rare).collect()] == ["c7"]

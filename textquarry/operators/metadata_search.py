@@ -3,8 +3,9 @@
 A pattern is contained in a value if it is an object whose members are contained in the value's members of the same names, an array
 whose elements are each contained in some element, or an equal scalar; numbers are equal by value. Every node of a value makes an entry:
 its path without array positions, with the scalar or the kind of container. Per entry and BLOCK row numbers there is one list of row
-numbers, as differences in bytes of seven bits, so the list of a frequent value is many rows. A search reads the lists of a pattern's
-scalars and empty containers, intersects them block by block, the shortest first, and compares what is left with the pattern itself.
+numbers, as differences in bytes of seven bits, so the list of a frequent value is many rows. Of a pattern's scalars and empty containers
+a search reads the lists of the one that the fewest rows have. Only in blocks where these are many it reads those of the others, and intersects
+them, the shortest first; so a pattern with a rare value costs no more for its frequent ones. What is left is compared with the pattern itself.
 
 Metadata that are null, no JSON or nested deeper than DEPTH levels are not found, nor do such patterns find anything. Repeated patterns
 count once, of rows with one id each.
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 
 DEPTH = 200
 BLOCK_BITS = 16  # BLOCK = 2^16 row numbers
+#: So few rows of a block are compared with the pattern without a look at its other lists.
+DIRECT = 256
 _ROWS = "number bigint, id string, metadata string"
 _LISTS = "entry bigint, block bigint, n int, numbers binary"
 
@@ -139,10 +142,20 @@ def _intersected(lists: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"pattern": lists["pattern"].iloc[0], "number": numbers})
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each pattern with the row numbers of its list."""
+    for batch in batches:
+        for pattern, data in zip(batch["pattern"], batch["numbers"]):
+            numbers = unpacked(data.as_py())
+            columns = [pa.repeat(pattern, len(numbers)), pa.array(numbers)]
+            yield pa.RecordBatch.from_arrays(columns, names=["pattern", "number"])
+
+
 def _truly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        values = {p: parsed(p)[1] for p in batch["pattern"].unique().to_pylist()}
         pairs = zip(batch["metadata"].to_pylist(), batch["pattern"].to_pylist())
-        yield batch.filter(pa.array([contains(parsed(m)[1], parsed(p)[1]) for m, p in pairs], pa.bool_())).select(["pattern", "id"])
+        yield batch.filter(pa.array([contains(parsed(m)[1], values[p]) for m, p in pairs], pa.bool_())).select(["pattern", "id"])
 
 
 class MetadataIndex:
@@ -167,7 +180,17 @@ class MetadataIndex:
         """pattern and id of every row that contains it. patterns: a column `pattern` of JSON text."""
         asked = patterns.select(F.col("pattern").cast("string").alias("pattern")).distinct()
         needed = asked.mapInArrow(_pattern_entries, "pattern string, entry bigint, needed int")
-        lists = needed.join(self._table("lists", _LISTS), "entry")
-        numbers = lists.groupBy("pattern", "block").applyInPandas(_intersected, "pattern string, number bigint")
+        lists = self._table("lists", _LISTS)
+        totals = lists.join(needed.select("entry").distinct(), "entry", "left_semi").groupBy("entry").agg(F.sum("n").alias("total"))
+        own = F.sort_array(F.collect_list(F.struct("total", "entry"))).alias("own")
+        ranked = needed.join(totals, "entry").groupBy("pattern", "needed").agg(own).where(F.size("own") == F.col("needed"))
+        others = F.transform(F.slice("own", F.lit(2), F.size("own")), lambda x: x["entry"]).alias("others")
+        rarest = ranked.select("pattern", "needed", F.col("own")[0]["entry"].alias("entry"), others).join(lists, "entry").drop("entry")
+        alone = (F.col("n") <= DIRECT) | (F.col("needed") == 1)
+        few = rarest.where(alone).select("pattern", "numbers").mapInArrow(_listed, "pattern string, number bigint")
+        many = rarest.where(~alone)
+        more = many.select("pattern", "needed", "block", F.explode("others").alias("entry")).join(lists, ["entry", "block"])
+        every = many.drop("others").unionByName(more.drop("entry"))
+        numbers = few.union(every.groupBy("pattern", "block").applyInPandas(_intersected, "pattern string, number bigint"))
         rows = numbers.join(self._table("rows", _ROWS), "number").select("pattern", "id", "metadata")
         return rows.mapInArrow(_truly, "pattern string, id string")
