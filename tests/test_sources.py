@@ -162,3 +162,14 @@ def test_names_with_other_characters(spark, tmp_path):
     assert {r.document_id: r.valid for r in meta.collect()} == {"产品 a+b": True, "broken": False}
     docs = files.with_titles(files.read_markdown(spark, str(place)), meta.unionByName(meta))
     assert [(r.document_id, r.title) for r in docs.collect()] == [("产品 a+b", "Rivers")]
+
+
+def test_clean_texts_are_written_by_all_cores(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    docs = spark.range(40 * cores).selectExpr(f"CAST(id % {20 * cores} AS STRING) AS document_id", "'a' AS clean_text").coalesce(1)
+    jsonl.write_clean_texts(docs, str(tmp_path / "texts"))
+    written = list((tmp_path / "texts").glob("document_id=*/part-*.txt"))
+    # rows of one document lie in one file, as before
+    assert len(written) == 20 * cores and all(f.read_text() == "a\na\n" for f in written)
+    assert len({f.name.split("-")[1] for f in written}) == cores
+    assert files.read_clean_texts(spark, str(tmp_path / "texts")).count() == 20 * cores

@@ -149,11 +149,11 @@ def with_titles(documents: DataFrame, meta: DataFrame | None = None, title: str
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows over all cores where the input has fewer splits than that.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows over all cores where the input has fewer splits than that, rows with the same `keys` to one task.
 
     Cleaning and chunking cost far more than moving the text once; an input of
     ordinary size has more splits than cores and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
