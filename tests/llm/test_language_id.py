@@ -81,3 +81,16 @@ def test_all_stay_when_nothing_could_be_learned(spark):
     docs = corpus(spark, 20).withColumn("lang", F.lit(None).cast("string"))
     odd = spark.createDataFrame([(99, "123 !!", None, "a", 0)], docs.schema)
     assert {r["doc_id"] for r in li.with_language(docs.union(odd)).collect()} == set(range(20))
+
+
+def test_cosines_take_little_text_at_once(spark, monkeypatch):
+    measured = li.cosines
+
+    def checked(texts, known, dimensions=li.DIMENSIONS):
+        if sum(len(x or "") for x in texts.to_pylist()) > 1 << 17:
+            raise AssertionError("more text at once than an executor's memory is planned for")
+        return measured(texts, known, dimensions)
+
+    docs = spark.createDataFrame([(i, "some words of a text " * 500, "en", "s", 0) for i in range(200)], "doc_id long, text string, lang string, source string, n int").coalesce(1)
+    monkeypatch.setattr(li, "cosines", checked)
+    assert li.with_language(docs).count() == 200

@@ -140,8 +140,8 @@ def row_of(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each has about SLICE_BYTES of text, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each has about `size` bytes of text, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -150,6 +150,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         i = 0
         while i < batch.num_rows:
             before = int(ends[i - 1]) if i else 0
-            j = max(i + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+            j = max(i + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(i, j - i)
             i = j

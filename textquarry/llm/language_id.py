@@ -43,6 +43,8 @@ GRAMS = SYMBOLS**3
 #: Training texts that a bound needs, the part of them that may lie below their quantile, and the bound's part of that.
 JUDGED = 32
 BELOW, PART = 0.01, 0.5
+#: Bytes of text whose trigrams are counted at once; sorting them takes many times that.
+COSINE_BYTES = 1 << 17
 
 
 @lru_cache(maxsize=1)
@@ -206,13 +208,19 @@ def _measured(docs: DataFrame, known: Profiles) -> DataFrame:
     """kept, the columns of docs, with grams, cosine and power, the power of two of grams."""
     held = docs.sparkSession.sparkContext.broadcast(known)
 
+    # The text is taken out of kept, so that it is sent and held once.
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = batch.column("kept")
+            yield pa.RecordBatch.from_arrays([kept, kept.field("text")], names=["kept", "text"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(texts(batches), size=COSINE_BYTES):
             grams, cosine = cosines(batch.column("text"), held.value)
             columns = [batch.column("kept"), pa.array(grams.astype(np.int64)), pa.array(cosine)]
             yield pa.RecordBatch.from_arrays(columns, names=["kept", "grams", "cosine"])
 
-    chosen = docs.select("text", F.struct(*docs.columns).alias("kept"))
+    chosen = docs.select(F.struct(*docs.columns).alias("kept"))
     schema = f"kept {chosen.schema['kept'].dataType.simpleString()}, grams bigint, cosine double"
     power = F.length(F.bin("grams")) - 1
     return chosen.mapInArrow(run, schema).withColumn("power", power)
