@@ -45,3 +45,10 @@ def test_page_fallback_filters_columns_that_are_computed_already(spark):
     plan = QUERIES["s4_page_fallback"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
     assert filters and not any("% 240" in line for line in filters)
+
+
+@pytest.mark.parametrize("name", ["p13_joints", "p15_page_texts", "p16_documents"])
+def test_word_places_are_not_written_out_in_filters(spark, name):
+    plan = QUERIES[name](spark, str(FOLDER))._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert filters and not any(" % " in line for line in filters)

@@ -51,6 +51,18 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def strip_words(c: Column) -> Column:
+    """`strip` for a column of short texts of which most have nothing to strip.
+
+    Trimming makes lists of a text's characters; ends that are visible ASCII signs are told by comparing bytes.
+    """
+
+    def visible(end: Column) -> Column:
+        return (end >= F.lit("!")) & (end < F.lit("\x7f"))
+
+    return F.when(visible(c) & visible(F.right(c, F.lit(1))), c).otherwise(strip(c))
+
+
 def lstrip(c: Column) -> Column:
     return F.ltrim(c, F.lit(WHITESPACE))
 

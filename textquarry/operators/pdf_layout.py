@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, code_point_class, let, lstrip, nfkc, strip, tenths
+from ..functions.text import WS, code_point_class, let, nfkc, strip, strip_words, tenths
 
 # Fixed values.
 HEADER_RATIO = 0.1
@@ -38,10 +38,10 @@ def filtered_words(words: DataFrame) -> DataFrame:
     """Words with text that lie between the header and the footer band."""
     number = {c: F.coalesce(c, F.lit(0.0)) for c in ("x0", "top", "bottom", "size")}
     return (
-        words.withColumns({"text": strip(F.col("text")), "x1": F.coalesce("x1", "x0", F.lit(0.0)), **number})
+        words.withColumns({"text": strip_words(F.col("text")), "x1": F.coalesce("x1", "x0", F.lit(0.0)), **number})
         .withColumn("fontname", F.coalesce("fontname", F.lit("")))
         .where(
-            (lstrip(F.col("text")) != "")
+            (F.col("text") != "")
             & (F.col("top") >= F.col("page_height") * HEADER_RATIO)
             & (F.col("bottom") <= F.col("page_height") * FOOTER_RATIO)
         )

@@ -111,7 +111,7 @@ def s4_page_fallback(spark: SparkSession, folder: str) -> DataFrame:
     words = page_words(spark, folder).withColumns(
         {c: F.when(lifted, F.lit(at)).otherwise(F.col(c)) for c, at in (("top", 50.0), ("bottom", 60.0))}
     )
-    tokens = F.split(F.regexp_replace("text", "[ \n]+", " "), " ")
+    tokens = F.split("text", "[ \n]+")
     numbers = F.explode(F.sequence(F.lit(1), F.ceil(F.size("tokens") / F.lit(240)).cast("int"))).alias("page_no")
     plain = F.array_join(F.slice("tokens", (F.col("page_no") - 1) * 240 + 1, F.lit(240)), " ")
     pages = spread(table(spark, folder, "documents")).select("doc_id", tokens.alias("tokens")).select("*", numbers)
@@ -347,39 +347,30 @@ def h_pages_to_chunks(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------- PDF layout
 
 
-def page_words(spark: SparkSession, folder: str) -> DataFrame:
-    """The words of the documents set on pages: one or two columns, headings, page
-    numbers, gaps between paragraphs, and lines of numbers."""
-    words = spread(table(spark, folder, "documents")).select(
-        "doc_id", F.posexplode(F.split(F.regexp_replace("text", "[ \n]+", " "), " ")).alias("n", "token")
-    )
-    r, two = F.col("n") % 240, F.col("doc_id") % 2 == 1
+def word_places(spark: SparkSession) -> DataFrame:
+    """Where the 240 words of a page stand, by the kind of its document: one column, two columns, or one with wide gaps."""
+    r, kind = F.col("r"), F.col("kind")
+    two = kind == 1
     k = F.when(two, r % 120).otherwise(r)
     per_line = F.when(two, 6).otherwise(12)
-    placed = words.select(
-        "doc_id",
-        (F.floor(F.col("n") / 240) + 1).cast("int").alias("page_no"),
-        F.col("n").alias("word_idx"),
-        "token",
-        r.alias("r"),
+    lines = spark.range(720).select((F.col("id") % 240).alias("r"), F.floor(F.col("id") / 240).alias("kind")).select(
+        "kind",
+        "r",
         F.when(two, F.floor(r / 120)).otherwise(0).alias("side"),
         F.floor(k / per_line).alias("line"),
         (k % per_line).alias("pos"),
     )
-    apart = (F.col("doc_id") % 4 == 2) & (F.col("line") % 7 == 3) & (F.col("pos") >= 6)
+    apart = (kind == 2) & (F.col("line") % 7 == 3) & (F.col("pos") >= 6)
     x0 = F.col("side") * 400 + F.col("pos") * 45 + F.when(apart, 210).otherwise(60)
     top = (
-        F.when(F.col("r") == 0, 50.0)
-        .when(F.col("r") == 239, 950.0)
+        F.when(r == 0, 50.0)
+        .when(r == 239, 950.0)
         .otherwise(110.0 + F.col("line") * 20 + F.floor(F.col("line") / 6) * 40 + (F.col("pos") % 2) * 0.03125)
     )
-    return placed.select(
-        "doc_id",
-        "page_no",
-        "word_idx",
-        F.lit(800.0).alias("page_width"),
-        F.lit(1000.0).alias("page_height"),
-        F.when(F.col("line") % 9 == 8, (F.col("pos") + 1).cast("string")).otherwise(F.col("token")).alias("text"),
+    places = lines.select(
+        F.col("kind").cast("int").alias("kind"),
+        F.col("r").cast("int").alias("r"),
+        F.when(F.col("line") % 9 == 8, (F.col("pos") + 1).cast("string")).alias("number"),
         x0.cast("double").alias("x0"),
         (x0 + 40).cast("double").alias("x1"),
         top.alias("top"),
@@ -387,6 +378,34 @@ def page_words(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("line") % 10 == 0, 14.0).otherwise(10.0).alias("size"),
         F.when(F.col("line") % 10 == 5, "Helvetica-Bold").otherwise("Helvetica").alias("fontname"),
     )
+    return computed_once(places)
+
+
+def page_words(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of the documents set on pages: one or two columns, headings, page
+    numbers, gaps between paragraphs, and lines of numbers.
+
+    A word's place is looked up, not computed for each word anew.
+    """
+    kind = F.when(F.col("doc_id") % 2 == 1, 1).when(F.col("doc_id") % 4 == 2, 2).otherwise(0)
+    words = spread(table(spark, folder, "documents")).select(
+        "doc_id", kind.alias("kind"), F.posexplode(F.split("text", "[ \n]+")).alias("n", "token")
+    )
+    placed = words.withColumn("r", F.pmod("n", F.lit(240))).join(F.broadcast(word_places(spark)), ["kind", "r"])
+    return placed.select(
+        "doc_id",
+        (F.floor(F.col("n") / 240) + 1).cast("int").alias("page_no"),
+        F.col("n").alias("word_idx"),
+        F.lit(800.0).alias("page_width"),
+        F.lit(1000.0).alias("page_height"),
+        F.coalesce("number", "token").alias("text"),
+        "x0",
+        "x1",
+        "top",
+        "bottom",
+        "size",
+        "fontname",
+    )
 
 
 @query
@@ -446,7 +465,7 @@ def p15_page_texts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p16_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents; a page whose words all lie in the bands takes its plain text."""
-    n_words = F.size(F.split(F.regexp_replace("text", "[ \n]+", " "), " "))
+    n_words = F.size(F.split("text", "[ \n]+"))
     pages = spread(table(spark, folder, "documents")).select(
         "doc_id",
         "lang",
