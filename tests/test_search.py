@@ -81,3 +81,19 @@ def test_a_second_run_replaces_its_documents(spark, tmp_path):
     (tmp_path / "chunks" / "own.jsonl").write_text('{"document_id":"b","chunk_id":"b-9","content":"older"}\n{"document_id":"c","chunk_id":"c-0","content":"own"}\n')
     got = {(r.chunk_id, r.content) for r in jsonl.read_chunks(spark, path).collect()}
     assert got == {("a-0", "new"), ("b-0", "stays"), ("c-0", "own")}
+
+
+def test_only_files_of_which_a_part_counts_are_joined(spark, tmp_path):
+    path = str(tmp_path / "some chunks")
+    write = lambda *ids: jsonl.write_chunks(spark.createDataFrame([(d, f"{d}-0", str(ids), ("t", "s", 0)) for d in ids], CHUNK).coalesce(1), path)
+    shuffles = lambda df: "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    write("a", "b")
+    write("a", "b", None)
+    read = jsonl.read_chunks(spark, path)
+    assert not shuffles(read)
+    assert sorted((str(r.document_id), r.content) for r in read.collect()) == [(d, "('a', 'b', None)") for d in ("None", "a", "b")]
+    write("b", "c")
+    read = jsonl.read_chunks(spark, path)
+    got = {(r.document_id, r.content) for r in read.collect()}
+    assert shuffles(read) and read.count() == 4
+    assert got == {("a", "('a', 'b', None)"), (None, "('a', 'b', None)"), ("b", "('b', 'c')"), ("c", "('b', 'c')")}

@@ -19,13 +19,33 @@ def read_chunks(spark: SparkSession, path: str | list[str], schema: T.StructType
 
     Of a document that several runs of `write_chunks` have written, the newest run counts. Files of one run have its id in their names, and
     runs that follow one another are told apart by when their files were written; files of other origin count as the oldest run.
+
+    Which files count is found first, from the document ids alone: files of which every document counts are read as they are, those of which none
+    does not at all, and only the rows of files between the two are joined with the newest runs.
     """
     files = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    rows = files.withColumn("_run", F.regexp_extract("_metadata.file_name", _RUN, 1)).withColumn("_at", F.col("_metadata.file_modification_time"))
+    rows = files.withColumns(
+        {
+            "_file": F.col("_metadata.file_path"),
+            "_run": F.regexp_extract("_metadata.file_name", _RUN, 1),
+            "_at": F.col("_metadata.file_modification_time"),
+        }
+    )
     last = F.max(F.struct(F.col("_run") != "", "_at", "_run"))["_run"].alias("_newest")
     newest = rows.groupBy(F.col("document_id").alias("_document")).agg(last)
-    own = F.col("document_id").eqNullSafe(F.col("_document")) & (F.col("_run") == F.col("_newest"))
-    return rows.join(newest, own, "left_semi").select(*schema.names)
+    same = F.col("document_id").eqNullSafe(F.col("_document"))
+    counts = F.col("_run") == F.col("_newest")
+    held = rows.select("document_id", "_run", "_file").distinct()
+    of_file = held.join(newest, same).groupBy("_file").agg(F.bool_and(counts).alias("whole"), F.bool_or(counts).alias("any"))
+    found = of_file.where("any").collect()  # a name for each file, as the listing holds them
+
+    def of(whole: bool) -> DataFrame:
+        return rows.where(F.col("_file").isin([f["_file"] for f in found if f["whole"] == whole]))
+
+    read = of(True).select(*schema.names)
+    if all(f["whole"] for f in found):
+        return read
+    return read.unionAll(of(False).join(newest, same & counts, "left_semi").select(*schema.names))
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType = CHUNK) -> DataFrame:
