@@ -1,10 +1,14 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 from conftest_llm import union_find
 from test_simhash import LOWER, WORD
 
 import corpus_pipeline
 from textquarry.llm import near_copies
+from textquarry.llm.suffix_index import text_packs
 
 
 def slow_shingles(text):
@@ -62,3 +66,22 @@ def test_a_passage_in_every_document(spark, monkeypatch):
         own = " ".join(f"o{i}y{k}" for k in range(rng.choice([0, 3, 30])))
         rows.append((i, f"{common} {own} {rng.choice(lines)} {rng.choice(lines)}"))
     check(docs := spark.createDataFrame(rows, "doc_id long, text string").repartition(3), near_copies.one_of_each(docs))
+
+
+def test_a_pack_of_short_texts_takes_little_memory():
+    texts = pa.RecordBatch.from_pydict({"batch": [0] * 40_000, "doc_id": list(range(40_000)), "text": [f"word{i // 2}" for i in range(40_000)]})
+    (pack,) = text_packs(iter([texts]), 0, 1 << 21)
+    (counts,) = near_copies._count_batches(1)(iter([pack]))
+    told = near_copies._counted(pa.Table.from_batches([counts]))
+    told = pa.array([told.column("entries").to_pylist()])
+    met = pa.RecordBatch.from_arrays([*pack.columns, told], names=[*pack.schema.names, "told"])
+    list(near_copies._left_batches(iter([met])))  # loads what is loaded once
+    tracemalloc.start()
+    (left,) = near_copies._left_batches(iter([met]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert left.num_rows == 40_000 and peak < 30_000_000
+    shared = left.column("shared").flatten().to_numpy().view(np.uint64)
+    bits = np.zeros((40_000, near_copies.MAP_BITS), np.uint8)
+    bits[np.arange(40_000), shared % np.uint64(near_copies.MAP_BITS)] = 1
+    assert (np.packbits(bits, axis=1).reshape(-1).view(np.int64) == left.column("map").flatten().to_numpy()).all()
