@@ -1,4 +1,5 @@
 import os
+from collections import defaultdict
 from pathlib import PurePosixPath
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textquarry.functions.providers import DigestEmbedder
 from textquarry.plans import cli, ingest
-from textquarry.sources import files, jsonl, staging
+from textquarry.sources import files, folders, jsonl, staging
 from textquarry.sources.chunk_table import ChunkTable, TableError
 from textquarry.streaming import inbox
 from textquarry.streaming.inbox import watch_inbox
@@ -173,3 +174,62 @@ def test_clean_texts_are_written_by_all_cores(spark, tmp_path):
     assert len(written) == 20 * cores and all(f.read_text() == "a\na\n" for f in written)
     assert len({f.name.split("-")[1] for f in written}) == cores
     assert files.read_clean_texts(spark, str(tmp_path / "texts")).count() == 20 * cores
+
+
+def test_clean_texts_lie_as_spark_lays_them(spark, tmp_path):
+    ids = [*(f"a{chr(c)}b" for c in range(1, 256)), "产品 a+b", "", None, "..", "x" * 200]
+    rows = [(x, f"text\n {i}") for i, x in enumerate(ids)] + [("twice", "one"), ("none", None), ("empty", ""), ("twice", "two")]
+    docs = spark.createDataFrame(rows, "document_id string, clean_text string").coalesce(1)
+
+    def held(folder):
+        found = defaultdict(list)
+        for p in folder.glob("document_id=*/part-*"):
+            found[p.parent.name].append((p.name.split("-")[1], p.read_bytes()))
+        return {name: sorted(parts) for name, parts in found.items()}
+
+    earlier = spark.createDataFrame([("twice", "old"), ("kept", "old")], docs.schema)
+    (tmp_path / "spark").mkdir()
+    writer = docs.repartition(spark.sparkContext.defaultParallelism, "document_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", "\n")
+    writer.partitionBy("document_id").text(str(tmp_path / "spark"))
+    jsonl.write_clean_texts(earlier, str(tmp_path / "own"))
+    jsonl.write_clean_texts(docs, str(tmp_path / "own"))
+    expected, own = held(tmp_path / "spark"), held(tmp_path / "own")
+    assert [x for _, x in own.pop("document_id=kept")] == [b"old\n"]
+    assert len(expected) == 255 + 4 + 3 and own == expected
+    assert {p.name for p in (tmp_path / "own").iterdir()} == {*own, "document_id=kept", "_SUCCESS"}
+    (tmp_path / "own" / "deeper" / "x").mkdir(parents=True)
+    (tmp_path / "own" / "deeper" / "x" / "y.txt").write_bytes(b"below")
+    (tmp_path / "own" / "_left").mkdir()
+    (tmp_path / "own" / "_left" / "z.txt").write_bytes(b"out")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path / "own"))
+    got = {r.path: r.clean_text for r in files.read_clean_texts(spark, str(tmp_path / "own")).collect()}
+    assert got == {r.path: r.content.decode() for r in listed.collect()} and len(got) > 263
+
+
+def test_many_clean_texts_take_few_tasks(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    docs = spark.range(100 * cores).selectExpr("CAST(id AS STRING) AS document_id", "'a' AS clean_text")
+    context = spark.sparkContext
+    context.setJobGroup("clean-texts", "")
+    jsonl.write_clean_texts(docs, str(tmp_path / "texts"))
+    assert files.read_clean_texts(spark, str(tmp_path / "texts")).count() == 100 * cores
+    jobs = [context.statusTracker().getJobInfo(j) for j in context.statusTracker().getJobIdsForGroup("clean-texts")]
+    stages = {s for j in jobs for s in j.stageIds}
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(context.statusTracker().getStageInfo(s).numTasks for s in stages) < 50 * cores
+    # each of Hadoop's check files would cost a process
+    assert not list((tmp_path / "texts").glob("document_id=*/.*"))
+
+
+def test_files_of_other_tasks_stay_when_a_folder_is_replaced(tmp_path):
+    to = tmp_path / "to"
+    for place, name in (("to/v=a", "part-00000-old.txt"), ("one/v=a", "part-00000-new.txt"), ("two/v=a", "part-00001-new.txt"), ("two/v=b", "part-00001-new.txt")):
+        (tmp_path / place).mkdir(parents=True, exist_ok=True)
+        (tmp_path / place / name).write_text(place)
+    for own in ("one", "two", "one", "two"):  # a task may come again
+        folders._moved(str(tmp_path / own), str(to), "new")
+    assert {f"{p.parent.name}/{p.name}": p.read_text() for p in to.glob("*/*")} == {
+        "v=a/part-00000-new.txt": "one/v=a",
+        "v=a/part-00001-new.txt": "two/v=a",
+        "v=b/part-00001-new.txt": "two/v=b",
+    }

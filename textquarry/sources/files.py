@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import universal_newlines
+from . import folders
 
-# Which suffix is cleaned how.
+# Which suffix is cleaned how, and signs with which a path names several.
+_PATTERN = "*?[]{}\\"
 KINDS = {".pdf": "pdf", ".html": "html", ".htm": "html", ".md": "markdown", ".markdown": "markdown"}
 
 
@@ -105,8 +109,15 @@ def read_html(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_clean_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files written by the cleaning step, decoded strictly."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    """Files written by the cleaning step, decoded strictly.
+
+    A folder on a file system of the machine's own is listed and read by tasks: Spark would hold each file on the driver and take 32 of them to a task.
+    """
+    folder = folders.local_path(spark, paths) if isinstance(paths, str) else None
+    if folder is not None and os.path.isdir(folder) and not set(folder) & set(_PATTERN):
+        files = folders.read_files(spark, folder)
+    else:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     # The cleaning step has a folder `document_id=...` for each document, named with %XX for special signs.
     named = F.regexp_extract("path", "/document_id=([^/]+)/[^/]+$", 1)
     own = F.nullif(F.url_decode(F.replace(named, F.lit("+"), F.lit("%2B"))), F.lit(""))
