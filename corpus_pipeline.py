@@ -27,7 +27,7 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that 5-word shingles with a similarity of 0.8 or more link, the document with the smallest id stays."""
+    """Of texts that 5-word shingles with a similarity of 0.8 or more link, or op2's fingerprints, the document with the smallest id stays."""
     return near_copies.one_of_each(docs)
 
 

@@ -7,7 +7,7 @@ from conftest_llm import union_find
 from test_simhash import LOWER, WORD
 
 import corpus_pipeline
-from textquarry.llm import near_copies
+from textquarry.llm import near_copies, simhash
 from textquarry.llm.suffix_index import text_packs
 
 
@@ -85,3 +85,20 @@ def test_a_pack_of_short_texts_takes_little_memory():
     bits = np.zeros((40_000, near_copies.MAP_BITS), np.uint8)
     bits[np.arange(40_000), shared % np.uint64(near_copies.MAP_BITS)] = 1
     assert (np.packbits(bits, axis=1).reshape(-1).view(np.int64) == left.column("map").flatten().to_numpy()).all()
+
+
+def test_what_fingerprints_link_is_one_too(spark):
+    """Texts of one line over and over with other ends: few shingles in common, yet op2 links them; and through the second, a copy by shingles of the third."""
+    line = " ".join(f"c{i}" for i in range(11))  # odd, so that no bit is a tie
+
+    def text(own, last):
+        return " ".join([line] * 40 + [f"{own}{k}" for k in range(60)] + [last])
+
+    rows = [(4, text("a", "z")), (2, text("b", "z")), (3, text("b", "y")), (1, "some other text of a few words"), (None, line)]
+    sets = [slow_shingles(t) for _, t in rows]
+    assert not near(sets[0], sets[1]) and not near(sets[0], sets[2]) and near(sets[1], sets[2]) and not near(sets[0], sets[4])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    same = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert same[2] == same[4] != same[1]
+    kept = {r["doc_id"] for r in corpus_pipeline.without_near_copies(spark, docs, "").collect()}
+    assert kept == {1, 2} | ({None} if same[None] is None else set())

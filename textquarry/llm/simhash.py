@@ -69,10 +69,15 @@ def fingerprint(hashes: list[int]) -> int:
     return int.from_bytes(np.packbits(bits).tobytes(), "big")
 
 
+def text_fingerprints(texts: pa.Array) -> pa.Array:
+    """The fingerprint of each text as a signed long."""
+    found = [fingerprint(shingle_hashes(x.encode()) if x else []) for x in texts.to_pylist()]
+    return pa.array(np.array(found, np.uint64).view(np.int64))
+
+
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        found = [fingerprint(shingle_hashes(x.encode()) if x else []) for x in batch.column("text").to_pylist()]
-        signed = pa.array(np.array(found, np.uint64).view(np.int64))
+        signed = text_fingerprints(batch.column("text"))
         rest = [c for c in batch.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), signed], names=[*rest, "fp"])
 
